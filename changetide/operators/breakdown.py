@@ -42,21 +42,27 @@ def wiki_breakdown(
     """
     sums = breakdown_sums(rollup, start)
     counter = "sum_bot_flagignore" if with_bots else "sum_bot_false"
-    cum_total = "tot_bot_flagignore" if with_bots else "tot_bot_false"
-    # One row per wiki gets here, whatever the number of events, so one window over all is fine.
+    # One row per wiki gets here, whatever the number of events, so windows over all are fine; the
+    # totals come from the same rows and need no second pass and no join.
+    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     order = Window.orderBy(F.desc(counter), F.asc_nulls_last("event_wiki")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    rows = sums.crossJoin(F.broadcast(breakdown_totals(sums)))
-    running = F.sum(counter).over(order)
-    return rows.select(
+    rows = sums.select(
         "event_wiki",
         F.col(counter).alias("sum"),
-        F.try_divide(F.col(counter), F.col("tot_bot_flagignore")).alias("rel_sum"),
-        running.alias("cumsum"),
-        F.try_divide(running, F.col(cum_total)).alias("rel_cumsum"),
-        F.col("tot_bot_flagignore").alias("total"),
-        F.col(cum_total).alias("cum_total"),
+        F.sum(counter).over(order).alias("cumsum"),
+        F.sum("sum_bot_flagignore").over(everything).alias("total"),
+        F.sum(counter).over(everything).alias("cum_total"),
+    )
+    return rows.select(
+        "event_wiki",
+        "sum",
+        F.try_divide("sum", "total").alias("rel_sum"),
+        "cumsum",
+        F.try_divide("cumsum", "cum_total").alias("rel_cumsum"),
+        "total",
+        "cum_total",
     )
 
 

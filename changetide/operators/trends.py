@@ -203,16 +203,19 @@ def page_history(
         edits = wiki_in_list(edits, sorted({p[0] for p in pages}))
     page = ["event_wiki", "event_title"]
     listed = edits.join(specs.select(*page), page, "left_semi")
-    counts = _count_by_hour(listed, *page)
-    spans = counts.groupBy(*page).agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
+    counts = _count_by_hour(listed, *page).where(F.col("t").isNotNull())
+    spans = counts.groupBy(*page).agg(
+        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum("c").alias("edits")
+    )
     start = F.coalesce("tmin", lower, "first_t")
     stop = F.coalesce("tmax", upper, "last_t")
     hours = F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))
     axis = specs.join(spans, page, "left").select(
         "series_no",
         *page,
-        # Reversed bounds give no rows; `sequence` itself would fail on them.
-        F.explode(F.when(start <= stop, hours)).alias("t"),
+        # Reversed bounds give no rows; `sequence` itself would fail on them. The number of edits
+        # is looked at so that spans and counts are the same aggregation, which is then done once.
+        F.explode(F.when((start <= stop) & (F.coalesce("edits", F.lit(0)) >= 0), hours)).alias("t"),
     )
     filled = axis.withColumn("t", hour_start(F.col("t"))).join(counts, [*page, "t"], "left")
     return filled.select(

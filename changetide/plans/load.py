@@ -132,9 +132,13 @@ def dump_quality(lines: DataFrame) -> DataFrame:
 def first_event_time(lines: DataFrame) -> DataFrame:
     """Per dump the time of its first event, the logical date of its load; dumps by name."""
     keyed = add_content_key(inspect_lines(lines).where("has_meta"))
+    # Per file (or block of one) first: numbers only, so the partial aggregation is a hash table.
+    per_block = keyed.groupBy("path", F.col("line_pos.block").alias("block")).agg(
+        F.min_by("ts_event_meta_dt", F.col("line_pos.seq")).alias("first_ts")
+    )
     return (
-        keyed.groupBy(file_name().alias("filename"))
-        .agg(F.min_by("ts_event_meta_dt", F.struct("path", "line_pos")).alias("first_ts"))
+        per_block.groupBy(file_name().alias("filename"))
+        .agg(F.min_by("first_ts", F.struct("path", "block")).alias("first_ts"))
         .orderBy("filename")
     )
 

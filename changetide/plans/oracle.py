@@ -168,9 +168,9 @@ f AS (
 # Lines of the dumps: every 500th event is followed by a broken one.
 _LINES = f"""{_RECEIVED},
 lines AS (
-  SELECT *, concat('stream_', strftime(slice_start, '%Y%m%dT%H%M%S')) AS dump, TRUE AS ok FROM keyed
+  SELECT *, concat('stream_', strftime(slice_start, '%Y%m%dT000500')) AS dump, TRUE AS ok FROM keyed
   UNION ALL
-  SELECT *, concat('stream_', strftime(slice_start, '%Y%m%dT%H%M%S')) AS dump, FALSE AS ok FROM keyed
+  SELECT *, concat('stream_', strftime(slice_start, '%Y%m%dT000500')) AS dump, FALSE AS ok FROM keyed
   WHERE n % 500 = 0)
 """
 
@@ -244,7 +244,8 @@ def oracle_sql() -> dict[str, str]:
             MAX(CASE WHEN fact = 'archived' THEN ts END) AS ts_file_archive
             FROM facts GROUP BY filename""",
         "new_dumps": f"""{_FACTS} SELECT DISTINCT filename FROM facts
-            WHERE filename NOT IN (SELECT filename FROM facts WHERE fact = 'load_complete')""",
+            WHERE filename NOT IN (SELECT filename FROM facts WHERE fact = 'load_complete'
+              AND ts < TIMESTAMP '2024-01-15 12:34:00')""",
         "add_content_key": f"{_RECEIVED} SELECT {_COLUMNS} FROM keyed",
         "parse_event_time": f"""WITH numbered AS ({_NUMBERED}), staged AS ({_STAGED})
             SELECT event_meta_dt, ts_event_meta_dt FROM staged""",

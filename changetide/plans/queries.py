@@ -68,7 +68,7 @@ def plain_times(result: DataFrame) -> DataFrame:
 
 
 def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """All events, repetitions and test events included, as lines of hourly dumps.
+    """All events, repetitions and test events included, as lines of daily dumps.
 
     Each 500th event is followed by a line cut off in the middle.
     """
@@ -79,7 +79,7 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
     whole_and_cut = F.when(broken, F.array("value", F.substring("value", 1, 20))).otherwise(F.array("value"))
     started = slices.with_slice_start(lines)
     return started.select(
-        F.date_format("slice_start", "'stream_'yyyyMMdd'T'HHmmss").alias("dump"),
+        F.date_format("slice_start", "'stream_'yyyyMMdd'T000500'").alias("dump"),
         F.col("ts_event_meta_dt").alias("ts"),
         F.col("event_meta_id").alias("message"),
         F.explode(whole_and_cut).alias("value"),
@@ -153,8 +153,10 @@ def q_load_registry(spark, d):
 
 
 def q_new_dumps(spark, d):
+    """Dumps of all hours against the facts known at one point in time."""
     facts = registry_facts(spark, d)
-    return retention.new_dumps(facts.select("filename").distinct(), facts)
+    known = facts.where(F.col("at") < F.lit(MERGE_BOUNDARY).cast("timestamp"))
+    return retention.new_dumps(facts.select("filename").distinct(), known)
 
 
 def q_add_content_key(spark, d):

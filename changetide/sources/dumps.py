@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import gzip
-import io
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changetide.functions.columns import base_name
@@ -19,41 +14,52 @@ FILES_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 # Plain values: read 4 MiB of text at a time, hand lines on in batches of at most 20,000.
 _CHUNK_BYTES = 4 * 1024 * 1024
 _LINES_PER_BATCH = 20_000
-_GZIP_MAGIC = b"\x1f\x8b"
 
 
-def _lines_of(content: pa.Buffer) -> Iterator[list[bytes]]:
-    """Lines of one file in bounded pieces; only the compressed bytes are held as a whole."""
-    source = pa.BufferReader(content)
-    packed = len(content) >= 2 and bytes(content[:2]) == _GZIP_MAGIC
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=source)) if packed else source
-    tail = b""
-    while chunk := stream.read(_CHUNK_BYTES):
-        *lines, tail = (tail + chunk).split(b"\n")
-        yield lines
-    if tail:
-        yield [tail]
+def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_PER_BATCH):
+    """The function run by the Python workers: files in, lines out.
+
+    All it needs is inside, so it travels by value and executors need no copy of this package.
+    """
+    import gzip
+    import io
 
+    import pyarrow as pa
 
-def _explode_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     position = pa.struct([("block", pa.int64()), ("seq", pa.int64())])
-    for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content")):
-            seq = 0
-            for lines in _lines_of(content.as_buffer()):
-                for start in range(0, len(lines), _LINES_PER_BATCH):
-                    part = lines[start : start + _LINES_PER_BATCH]
-                    numbers = pa.array(range(seq, seq + len(part)), pa.int64())
-                    blocks = pa.array([0] * len(part), pa.int64())
-                    seq += len(part)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([path.as_py()] * len(part), pa.string()),
-                            pa.StructArray.from_arrays([blocks, numbers], fields=list(position)),
-                            pa.array(part, pa.binary()),
-                        ],
-                        names=["path", "line_pos", "raw"],
-                    )
+
+    def lines_of(content):
+        # Only the packed bytes of a file are held as a whole.
+        source = pa.BufferReader(content)
+        packed = bytes(content[:2]) == b"\x1f\x8b"
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=source)) if packed else source
+        tail = b""
+        while chunk := stream.read(chunk_bytes):
+            *lines, tail = (tail + chunk).split(b"\n")
+            yield lines
+        if tail:
+            yield [tail]
+
+    def read(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                seq = 0
+                for lines in lines_of(content.as_buffer()):
+                    for start in range(0, len(lines), lines_per_batch):
+                        part = lines[start : start + lines_per_batch]
+                        numbers = pa.array(range(seq, seq + len(part)), pa.int64())
+                        blocks = pa.array([0] * len(part), pa.int64())
+                        seq += len(part)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array([path.as_py()] * len(part), pa.string()),
+                                pa.StructArray.from_arrays([blocks, numbers], fields=list(position)),
+                                pa.array(part, pa.binary()),
+                            ],
+                            names=["path", "line_pos", "raw"],
+                        )
+
+    return read
 
 
 def unpack_dumps(files: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def unpack_dumps(files: DataFrame) -> DataFrame:
     """
     return (
         files.select("path", "content")
-        .mapInArrow(_explode_lines, LINES_SCHEMA)
+        .mapInArrow(_line_reader(), LINES_SCHEMA)
         .select("path", "line_pos", F.col("raw").cast("string").alias("value"))
     )
 
