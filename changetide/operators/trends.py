@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from changetide.functions.columns import at, hour_start, hour_timestamp, series_label
 from changetide.operators.filters import (
@@ -258,15 +258,16 @@ def top_pages_history(
     """Histories of the most edited pages on a common time axis; `series_no` is the rank from 0."""
     if not isinstance(tmin, dt.date) or not isinstance(tmax, dt.date):
         raise ValueError("a time range bound must be a date or a datetime")
+    if not 0 < first <= MAX_BROADCAST_SPECS:
+        raise ValueError(f"number of pages must be between 1 and {MAX_BROADCAST_SPECS}")
     top = top_pages(changes, wiki, since, n=first)
-    # At most `first` rows, one per page.
-    ranked = top.agg(
-        F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("k"), "event_title"))).alias("pages")
-    ).select(F.posexplode("pages").alias("series_no", "page"))
+    # At most `first` rows are numbered, and sent to all tasks.
+    rank = F.row_number().over(Window.orderBy(F.desc("c"), "event_title")) - 1
+    ranked = top.select(rank.alias("series_no"), "event_title")
     specs = ranked.select(
         "series_no",
         F.lit(wiki).alias("event_wiki"),
-        F.col("page.event_title").alias("event_title"),
+        "event_title",
         at(tmin).alias("tmin"),
         at(tmax).alias("tmax"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from changetide.functions.columns import base_name
 from changetide.operators.registry import load_fact, record_facts, timestamp_fact
+from changetide.operators.rollups import refresh_rollups
 from changetide.operators.staging import (
     add_content_key,
     batch_ranges,
@@ -18,7 +19,7 @@ from changetide.operators.staging import (
     possible_matches,
 )
 from changetide.schema import CANARY_DOMAIN, DUMP_GLOB, EVENT_COLUMNS
-from changetide.session import require_utc, scratch_dir
+from changetide.session import drop_scratch, require_utc, scratch_dir
 from changetide.sources.dumps import list_dumps, read_dumps
 from changetide.sources.tables import ensure_registry, ensure_table, read_table, with_partitions
 
@@ -78,6 +79,13 @@ def merge_staged(staged: DataFrame, target: str, load_id: str) -> DataFrame:
     return counts.join(merged, "filename", "left").fillna(0, ["merged"])
 
 
+def staged_days(staged: DataFrame) -> list[dt.date]:
+    """UTC days of the events of a staging table, for the refresh of the rollups."""
+    day = F.to_date("ts_event_meta_dt").alias("day")
+    rows = staged.where(F.col("ts_event_meta_dt").isNotNull()).select(day).distinct().collect()
+    return sorted(r["day"] for r in rows)
+
+
 def checked_files(files: list[str] | str) -> list[str]:
     """A list of names; one name counts as a list of one. ValueError for anything else."""
     if isinstance(files, str):
@@ -92,6 +100,7 @@ def load_batch(
     files: list[str] | str,
     target: str,
     registry: str | None = None,
+    rollups: str | None = None,
     load_id: str | None = None,
     glob: str | None = DUMP_GLOB,
 ) -> DataFrame:
@@ -99,7 +108,8 @@ def load_batch(
 
     Returns per file: lines, undecodable lines, staged and ill-typed events, events after
     de-duplication, merged events. Loading a file again merges nothing. With `registry` the begin,
-    the end and the counts are recorded there.
+    the end and the counts are recorded there; with `rollups` the stored rollups are brought up to
+    date afterwards, in a step of its own.
     """
     require_utc(spark)
     files = checked_files(files)
@@ -108,15 +118,19 @@ def load_batch(
     names = list_dumps(spark, files, glob).select(file_name().alias("filename")).distinct()
     if registry:
         ensure_registry(spark, registry)
-        record_facts(timestamp_fact(names, "load_begin", _now()), registry)
-    staged = stage_lines(read_dumps(spark, files, glob), scratch_dir(spark, "staged"))
+        record_facts(timestamp_fact(names, "load_begin", now()), registry)
+    folder = scratch_dir(spark, "staged")
+    staged = stage_lines(read_dumps(spark, files, glob), folder)
     counts = names.join(merge_staged(staged, target, load_id), "filename", "left").fillna(0)
-    # Stored, so that looking at the counts does not compute them again.
-    folder = scratch_dir(spark, "load-stats")
-    counts.write.parquet(folder)
-    stats = spark.read.schema(counts.schema).parquet(folder)
+    # Stored, as they are counted in the staging table.
+    stats_folder = scratch_dir(spark, "load-stats")
+    counts.write.parquet(stats_folder)
+    stats = spark.read.schema(counts.schema).parquet(stats_folder)
     if registry:
-        record_facts(load_fact(stats, _now()), registry)
+        record_facts(load_fact(stats, now()), registry)
+    if rollups:
+        refresh_rollups(spark, target, rollups, staged_days(staged))
+    drop_scratch(spark, folder)
     return stats
 
 
@@ -143,5 +157,5 @@ def first_event_time(lines: DataFrame) -> DataFrame:
     )
 
 
-def _now() -> dt.datetime:
+def now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)

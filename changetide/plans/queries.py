@@ -526,7 +526,8 @@ def q_peak_burst_forward(spark, d):
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The given events as a file stream, repetitions and test events included, with keys."""
     schema = mapping.source_events(spark, folder).schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    # A pattern, as a stream cannot start from the name of one file; the table may be a folder too.
+    source = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
     staged = mapping.to_staged(mapping.with_repeats(source))
     return staging.add_content_key(staged).select(*EVENT_COLUMNS)
 

@@ -48,3 +48,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="changetide-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{APP_FOLDER}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, folder: str) -> None:
+    """Remove a folder made by `scratch_dir`, as one drops a temporary table."""
+    if f"/{APP_FOLDER}/" not in folder:
+        raise ValueError(f"not a scratch folder: {folder}")
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,9 +11,10 @@ from changetide.operators.filters import TS, watch_user
 from changetide.operators.registry import load_fact, record_facts
 from changetide.operators.staging import add_content_key, parse_changes
 from changetide.operators.status import health_status
-from changetide.plans.load import merge_staged, stage_lines
+from changetide.operators.rollups import refresh_rollups
+from changetide.plans.load import merge_staged, now, stage_lines, staged_days
 from changetide.schema import CANARY_DOMAIN, DUMP_GLOB, EVENT_COLUMNS, HEALTH_MAX_AGE_SECONDS
-from changetide.session import require_utc, scratch_dir
+from changetide.session import drop_scratch, require_utc, scratch_dir
 from changetide.sources.dumps import stream_dumps
 from changetide.sources.tables import ensure_registry, ensure_table
 
@@ -24,12 +25,13 @@ def stream_load(
     target: str,
     checkpoint: str,
     registry: str | None = None,
+    rollups: str | None = None,
     glob: str = DUMP_GLOB,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Load dumps as they turn up; takes all that are there and stops, to be started hourly.
 
-    The checkpoint remembers the files done. A batch that is run again after a crash finds its own
+    The checkpoint remembers the files done; registry and rollups are kept as by `load_batch`. A batch that is run again after a crash finds its own
     rows in the table and adds the missing ones only.
     """
     require_utc(spark)
@@ -39,10 +41,14 @@ def stream_load(
 
     def load(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
-        staged = stage_lines(lines, scratch_dir(session, "staged"))
+        folder = scratch_dir(session, "staged")
+        staged = stage_lines(lines, folder)
         counts = merge_staged(staged, target, f"stream:{checkpoint}:{batch_id}")
         if registry:
-            record_facts(load_fact(counts, dt.datetime.now(dt.timezone.utc)), registry)
+            record_facts(load_fact(counts, now()), registry)
+        if rollups:
+            refresh_rollups(session, target, rollups, staged_days(staged))
+        drop_scratch(session, folder)
 
     return (
         stream_dumps(spark, folder, glob, max_files)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from changetide import mapping
 from changetide.operators.registry import load_fact, record_facts, registry_state, timestamp_fact
+from changetide.operators.rollups import hourly_counts
 from changetide.operators.staging import (
     add_content_key,
     batch_ranges,
@@ -21,6 +22,7 @@ from changetide.sources.tables import (
     ensure_table,
     read_changes,
     read_registry,
+    read_rollup,
     read_table,
     with_partitions,
 )
@@ -125,6 +127,19 @@ def test_registry(spark, write_dump, tmp_path):
     assert registry_state(read_registry(spark, registry)).first()["loadstat_events_merged"] == 0
 
 
+def test_load_keeps_the_rollups_up_to_date(spark, write_dump, tmp_path):
+    target, rollups = str(tmp_path / "table"), str(tmp_path / "rollups")
+    hours = [f"2025-12-13T{h:02d}:30:00Z" for h in range(24)] + ["2025-12-14T00:10:00Z", "2025-12-12T05:00:00Z"]
+    for i in range(3):
+        part = [change(100 * i + k, dt=t) for k, t in enumerate(hours[i * 10 : i * 10 + 10])]
+        load_batch(spark, write_dump(f"stream_20251213T18050{i}_000001.gz.ready", part), target, rollups=rollups)
+        for edits_only in (False, True):
+            stored = read_rollup(spark, rollups, edits_only)
+            expected = hourly_counts(read_changes(spark, target), edits_only)
+            assert rows_of(stored, *expected.columns) == rows_of(expected)
+    assert read_rollup(spark, rollups).count() == 25
+
+
 def test_unknown_time_stamp_kind(spark):
     with pytest.raises(ValueError):
         timestamp_fact(spark.createDataFrame([("a",)], "filename string"), "loaded", dt.datetime.now())

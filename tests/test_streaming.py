@@ -7,7 +7,7 @@ from changetide.operators.registry import registry_state
 from changetide.operators.rollups import hourly_counts
 from changetide.plans.queries import event_stream
 from changetide.sources import dumps
-from changetide.sources.tables import read_changes, read_registry
+from changetide.sources.tables import read_changes, read_registry, read_rollup
 from changetide.streaming import jobs
 from conftest import change, rows_of
 from test_rollups import FOLDER
@@ -19,22 +19,25 @@ B = "stream_20251213T190500_000002.gz.ready"
 def test_stream_load_resumes_and_takes_closed_dumps_only(spark, write_dump, tmp_path):
     folder, target = str(tmp_path / "dumps"), str(tmp_path / "table")
     registry, state = str(tmp_path / "registry"), str(tmp_path / "state")
+    rollups = str(tmp_path / "rollups")
     write_dump(A, [change(1), change(1), change(2), "{bad", change(3, domain="canary")])
     write_dump("stream_20251213T190500_000002.gz", [change(99)])
 
     def run():
-        jobs.stream_load(spark, folder, target, state, registry).awaitTermination()
+        jobs.stream_load(spark, folder, target, state, registry, rollups).awaitTermination()
         return rows_of(read_changes(spark, target), "event_meta_id")
 
     assert run() == [("m1",), ("m2",)]
     assert run() == [("m1",), ("m2",)]
-    write_dump(B, [change(2), change(4)])
-    assert run() == [("m1",), ("m2",), ("m4",)]
+    write_dump(B, [change(2), change(4), change(5, dt="2025-12-13T19:30:00Z")])
+    assert run() == [("m1",), ("m2",), ("m4",), ("m5",)]
     counts = registry_state(read_registry(spark, registry))
-    assert rows_of(counts, "filename", "loadstat_events_in_file", "loadstat_events_merged") == [(A, 5, 2), (B, 2, 1)]
+    assert rows_of(counts, "filename", "loadstat_events_in_file", "loadstat_events_merged") == [(A, 5, 2), (B, 3, 2)]
+    expected = hourly_counts(read_changes(spark, target))
+    assert rows_of(read_rollup(spark, rollups), *expected.columns) == rows_of(expected)
     # A lost checkpoint means every dump is read again; nothing is added.
     jobs.stream_load(spark, folder, target, str(tmp_path / "state2")).awaitTermination()
-    assert read_changes(spark, target).count() == 3
+    assert read_changes(spark, target).count() == 4
 
 
 def run_to_rows(spark, stream, tmp_path):
