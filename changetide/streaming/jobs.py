@@ -65,12 +65,19 @@ def keyed_events(lines: DataFrame) -> DataFrame:
     return keyed.where(F.col("event_meta_domain") != CANARY_DOMAIN).select(*EVENT_COLUMNS)
 
 
-def stream_dedup(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+def stream_dedup(events: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame:
     """Drop repetitions that come within `delay`; the state is bounded by it.
 
-    For outputs of the stream alone; the table is kept free of repetitions by the merge.
+    For outputs of the stream alone; the table is kept free of repetitions by the merge. A stream
+    drops repetitions only after its shuffle, so the copies of a key are first spread over `salts`
+    keys; at most that many rows of it meet in the second step. The seed makes the spreading the
+    same when a task is run again. `salts=1` leaves the first step out.
     """
-    return events.withWatermark(TS, delay).dropDuplicatesWithinWatermark(["_h"])
+    watched = events.withWatermark(TS, delay)
+    if salts > 1:
+        salted = watched.withColumn("_salt", F.floor(F.rand(0) * salts))
+        watched = salted.dropDuplicatesWithinWatermark(["_h", "_salt"]).drop("_salt")
+    return watched.dropDuplicatesWithinWatermark(["_h"])
 
 
 def stream_hourly_counts(

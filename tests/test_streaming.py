@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from changetide import mapping
@@ -52,8 +53,9 @@ def test_stream_counts_equal_the_rollup_of_closed_hours(spark, tmp_path):
     assert rows_of(got) == rows_of(hourly_counts(events))
 
 
-def test_stream_dedup(spark, tmp_path):
-    got = run_to_rows(spark, jobs.stream_dedup(event_stream(spark, FOLDER)), tmp_path)
+@pytest.mark.parametrize("salts", [1, 8])
+def test_stream_dedup(spark, tmp_path, salts):
+    got = run_to_rows(spark, jobs.stream_dedup(event_stream(spark, FOLDER), salts=salts), tmp_path)
     assert rows_of(got, "_h") == rows_of(mapping.keyed(spark, FOLDER).select("_h").distinct())
 
 
