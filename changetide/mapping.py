@@ -2,58 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changetide.functions.columns import content_key
 from changetide.operators.staging import add_content_key
-from changetide.schema import CANARY_DOMAIN, EVENT_COLUMNS
-
-# Title prefixes by event number modulo 11.
-_PREFIXES = ["Talk:", "User:", "User talk:", "Wikipedia:", "Wikipedia talk:", "Template talk:"]
-_TYPES = {"click": "edit", "view": "edit", "signup": "new", "purchase": "log"}
+from changetide.schema import EVENT_COLUMNS
+
+SOURCE_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
+# Texts of the derived columns; `g` spreads the users over the wikis at every scale.
+_G = "((user_id * 61) % 150)"
+_STAGED = {
+    "event_meta_dt": """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")""",
+    "event_meta_id": "concat('m-', CAST(event_id AS STRING))",
+    "event_meta_domain": """CASE WHEN event_id % 97 = 0 THEN 'canary'
+        WHEN event_id % 101 <> 0 THEN 'example.org' END""",
+    "event_id": "CASE WHEN event_id % 13 <> 0 THEN event_id END",
+    "event_type": """CASE event_type WHEN 'click' THEN 'edit' WHEN 'view' THEN 'edit'
+        WHEN 'signup' THEN 'new' WHEN 'purchase' THEN 'log' ELSE 'categorize' END""",
+    "event_wiki": f"""CASE WHEN event_id % 211 = 0 THEN NULL WHEN {_G} < 50 THEN 'wikidatawiki'
+        WHEN {_G} < 80 THEN 'commonswiki' WHEN {_G} < 100 THEN 'enwiki' WHEN {_G} < 112 THEN 'dewiki'
+        ELSE concat('w', CAST({_G} AS STRING), 'wiki') END""",
+    "event_user": "CASE WHEN event_id % 59 <> 0 THEN concat('u', CAST(user_id AS STRING)) END",
+    "event_bot": "CASE WHEN event_id % 17 <> 0 THEN user_id % 3 = 0 END",
+    "event_title": """CASE WHEN event_id % 53 <> 0 THEN concat(
+        CASE event_id % 11 WHEN 0 THEN 'Talk:' WHEN 1 THEN 'User:' WHEN 2 THEN 'User talk:'
+            WHEN 3 THEN 'Wikipedia:' WHEN 4 THEN 'Wikipedia talk:' WHEN 5 THEN 'Template talk:' ELSE '' END,
+        'Page ', regexp_extract(props, '([0-9]+)', 1)) END""",
+}
 
 
 def source_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(SOURCE_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
 def with_repeats(events: DataFrame) -> DataFrame:
     """Each 40th event twice, as the stream sends some events again."""
-    copies = F.when(F.col("event_id") % 40 == 0, F.lit(2)).otherwise(F.lit(1))
-    return events.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy")
+    copies = "explode(sequence(1, CASE WHEN event_id % 40 = 0 THEN 2 ELSE 1 END)) AS _copy"
+    return events.selectExpr("*", copies).drop("_copy")
 
 
-def to_staged(events: DataFrame, *more: Column) -> DataFrame:
+def to_staged(events: DataFrame, *more: str) -> DataFrame:
     """The nine staged columns; wiki, type, title and gaps follow from the event's own values."""
-    number = F.col("event_id")
-    g = (F.col("user_id") * 61) % 150
-    kind = F.lit("categorize")
-    for source, target in _TYPES.items():
-        kind = F.when(F.col("event_type") == source, F.lit(target)).otherwise(kind)
-    prefix = F.lit("")
-    for rest, text in enumerate(_PREFIXES):
-        prefix = F.when(number % 11 == rest, F.lit(text)).otherwise(prefix)
-    domain = F.when(number % 97 == 0, CANARY_DOMAIN).when(number % 101 != 0, "example.org")
-    wiki = (
-        F.when(g < 50, F.lit("wikidatawiki"))
-        .when(g < 80, "commonswiki")
-        .when(g < 100, "enwiki")
-        .when(g < 112, "dewiki")
-        .otherwise(F.concat(F.lit("w"), g.cast("string"), F.lit("wiki")))
-    )
-    page = F.concat(prefix, F.lit("Page "), F.regexp_extract("props", "([0-9]+)", 1))
-    return events.select(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_meta_dt"),
-        F.concat(F.lit("m-"), number.cast("string")).alias("event_meta_id"),
-        domain.alias("event_meta_domain"),
-        F.when(number % 13 != 0, number).alias("event_id"),
-        kind.alias("event_type"),
-        F.when(number % 211 != 0, wiki).alias("event_wiki"),
-        F.when(number % 59 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("event_user"),
-        F.when(number % 17 != 0, F.col("user_id") % 3 == 0).alias("event_bot"),
-        F.when(number % 53 != 0, page).alias("event_title"),
-        *more,
-    )
+    return events.selectExpr(*[f"{text} AS {name}" for name, text in _STAGED.items()], *more)
 
 
 def keyed(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,28 +61,15 @@ def event_table(spark: SparkSession, folder: str) -> DataFrame:
     get here (a test compares with `dedup_changes` of `keyed`). The time is that of the source,
     cut to milliseconds as the text is, which saves reading it back from the text.
     """
-    number = F.col("event_id")
-    known = source_events(spark, folder).where((number % 97 != 0) & (number % 101 != 0))
-    staged = to_staged(known, F.date_trunc("MILLISECOND", F.col("ts")).alias("ts_event_meta_dt"))
+    known = source_events(spark, folder).where("event_id % 97 <> 0 AND event_id % 101 <> 0")
+    staged = to_staged(known, "date_trunc('MILLISECOND', ts) AS ts_event_meta_dt")
     key = content_key(*[F.col(c) for c in ("event_meta_id", "event_meta_dt", "event_id", "event_user")])
     return staged.withColumn("_h", key).select(*EVENT_COLUMNS)
 
 
 def json_lines(staged: DataFrame) -> DataFrame:
     """Staged events as lines of JSON, missing values left out."""
-    value = F.to_json(
-        F.struct(
-            F.col("event_type").alias("type"),
-            F.col("event_title").alias("title"),
-            F.col("event_wiki").alias("wiki"),
-            F.col("event_user").alias("user"),
-            F.col("event_bot").alias("bot"),
-            F.col("event_id").alias("id"),
-            F.struct(
-                F.col("event_meta_dt").alias("dt"),
-                F.col("event_meta_id").alias("id"),
-                F.col("event_meta_domain").alias("domain"),
-            ).alias("meta"),
-        )
-    )
-    return staged.withColumn("value", value)
+    value = """to_json(named_struct('type', event_type, 'title', event_title, 'wiki', event_wiki,
+        'user', event_user, 'bot', event_bot, 'id', event_id, 'meta', named_struct(
+        'dt', event_meta_dt, 'id', event_meta_id, 'domain', event_meta_domain)))"""
+    return staged.withColumn("value", F.expr(value))

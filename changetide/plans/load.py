@@ -24,6 +24,12 @@ from changetide.sources.dumps import list_dumps, read_dumps
 from changetide.sources.tables import ensure_registry, ensure_table, read_table, with_partitions
 
 
+STATS_SCHEMA = (
+    "filename string, lines bigint, undecodable bigint, staged bigint, ill_typed bigint, "
+    "deduplicated bigint, merged bigint"
+)
+
+
 def file_name() -> Column:
     """Name a line is accounted under: its dump, or the folder of a dump written in several files."""
     folder = F.regexp_extract("path", r"/dump=([^/]+)/", 1)
@@ -90,7 +96,7 @@ def checked_files(files: list[str] | str) -> list[str]:
     """A list of names; one name counts as a list of one. ValueError for anything else."""
     if isinstance(files, str):
         files = [files]
-    if not (isinstance(files, list) and files and all(isinstance(f, str) for f in files)):
+    if not (isinstance(files, list) and all(isinstance(f, str) for f in files)):
         raise ValueError(f"expected a list of file names, got {type(files).__name__}")
     return files
 
@@ -115,6 +121,8 @@ def load_batch(
     files = checked_files(files)
     load_id = load_id or uuid.uuid4().hex
     ensure_table(spark, target)
+    if not files:
+        return spark.createDataFrame([], STATS_SCHEMA)
     names = list_dumps(spark, files, glob).select(file_name().alias("filename")).distinct()
     if registry:
         ensure_registry(spark, registry)

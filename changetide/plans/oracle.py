@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from changetide.schema import EXCLUDED_TITLE_PREFIXES
+
 # The derived change events; `{source}` is the given table or the one with repeated events.
 _STAGED = """
 SELECT CAST(date_trunc('millisecond', ts) AS TIMESTAMP) AS ts_event_meta_dt,
@@ -61,8 +63,8 @@ def _rollup(name: str, where: str) -> str:
   SELECT CAST(ts_event_meta_dt AS DATE) AS date, CAST(extract(hour FROM ts_event_meta_dt) AS INTEGER) AS hour,
     event_wiki,
     COUNT(*) AS count_bot_flagignore,
-    CAST(coalesce(SUM(CASE WHEN event_bot = TRUE THEN 1 END), 0) AS BIGINT) AS count_bot_true,
-    CAST(coalesce(SUM(CASE WHEN event_bot = FALSE THEN 1 END), 0) AS BIGINT) AS count_bot_false
+    COUNT(*) FILTER (WHERE event_bot) AS count_bot_true,
+    COUNT(*) FILTER (WHERE NOT event_bot) AS count_bot_false
   FROM changes
   WHERE ts_event_meta_dt < (SELECT date_trunc('hour', MAX(ts_event_meta_dt)) FROM changes) {where}
   GROUP BY 1, 2, 3)
@@ -80,31 +82,30 @@ def _shown(where: str) -> str:
 
 _HOUR = "CAST(extract(hour FROM ts_event_meta_dt) AS INTEGER)"
 _DAY = "CAST(ts_event_meta_dt AS DATE)"
-_PREFIXES = " ".join(
-    f"AND NOT event_title LIKE '{p}%'" for p in ("Talk:", "User:", "User talk:", "Wikipedia:", "Wikipedia talk:")
-)
+_PREFIXES = " ".join(f"AND NOT starts_with(event_title, '{p}')" for p in EXCLUDED_TITLE_PREFIXES)
 
 
 def _breakdown(counter: str, cum_total: str) -> str:
     return f"""{_ROLLED},
-q AS (
+sums AS (
   SELECT event_wiki, CAST(SUM(count_bot_flagignore) AS BIGINT) AS sum_bot_flagignore,
     CAST(SUM(count_bot_true) AS BIGINT) AS sum_bot_true,
     CAST(SUM(count_bot_false) AS BIGINT) AS sum_bot_false
   FROM counts_all WHERE date >= DATE '2024-01-16' GROUP BY event_wiki),
-totals AS (
+whole AS (
   SELECT CAST(SUM(sum_bot_flagignore) AS BIGINT) AS tot_bot_flagignore,
     CAST(SUM(sum_bot_true) AS BIGINT) AS tot_bot_true,
-    CAST(SUM(sum_bot_false) AS BIGINT) AS tot_bot_false FROM q),
-b AS (
-  SELECT event_wiki, {counter} AS sum, CAST({counter} AS DOUBLE) / CAST(tot_bot_flagignore AS DOUBLE) AS rel_sum,
-    CAST(SUM({counter}) OVER w AS BIGINT) AS cumsum,
-    CAST(SUM({counter}) OVER w AS DOUBLE) / CAST({cum_total} AS DOUBLE) AS rel_cumsum,
-    tot_bot_flagignore AS total, {cum_total} AS cum_total
-  FROM q, totals WINDOW w AS (ORDER BY {counter} DESC, event_wiki ASC NULLS LAST)),
+    CAST(SUM(sum_bot_false) AS BIGINT) AS tot_bot_false FROM sums),
+running AS (
+  SELECT event_wiki, {counter} AS sum, tot_bot_flagignore AS total, {cum_total} AS cum_total,
+    CAST(SUM({counter}) OVER (ORDER BY {counter} DESC, event_wiki ASC NULLS LAST) AS BIGINT) AS cumsum
+  FROM sums CROSS JOIN whole),
+shares AS (
+  SELECT event_wiki, sum, CAST(sum AS DOUBLE) / CAST(total AS DOUBLE) AS rel_sum, cumsum,
+    CAST(cumsum AS DOUBLE) / CAST(cum_total AS DOUBLE) AS rel_cumsum FROM running),
 labelled AS (
   SELECT CASE WHEN cumsum * 100 >= cum_total * 95 THEN 'other wikis' ELSE event_wiki END AS event_wiki,
-    sum, cumsum, total FROM b)
+    sum, cumsum, total FROM running)
 """
 
 
@@ -114,8 +115,8 @@ _NO_BOTS = _breakdown("sum_bot_false", "tot_bot_false")
 
 def _trend_rollup(counter: str) -> str:
     return f"""{_ROLLED}
-SELECT date, hour, CAST(SUM(CASE WHEN event_wiki = 'enwiki' THEN {counter} END) AS BIGINT) AS enwiki,
-  CAST(SUM(CASE WHEN event_wiki = 'dewiki' THEN {counter} END) AS BIGINT) AS dewiki,
+SELECT date, hour, CAST(SUM({counter}) FILTER (WHERE event_wiki = 'enwiki') AS BIGINT) AS enwiki,
+  CAST(SUM({counter}) FILTER (WHERE event_wiki = 'dewiki') AS BIGINT) AS dewiki,
   CAST(date AS TIMESTAMP) + to_hours(hour) AS ts
 FROM counts_edits
 WHERE event_wiki IN ('enwiki', 'dewiki') AND date >= DATE '2024-01-08' AND date <= DATE '2024-01-15'
@@ -125,8 +126,8 @@ GROUP BY date, hour"""
 def _trend_raw(where: str) -> str:
     return f"""{_TABLE}
 SELECT {_DAY} AS date, {_HOUR} AS hour,
-  CAST(SUM(CASE WHEN event_wiki = 'enwiki' THEN 1 END) AS BIGINT) AS enwiki,
-  CAST(SUM(CASE WHEN event_wiki = 'dewiki' THEN 1 END) AS BIGINT) AS dewiki,
+  CAST(SUM(1) FILTER (WHERE event_wiki = 'enwiki') AS BIGINT) AS enwiki,
+  CAST(SUM(1) FILTER (WHERE event_wiki = 'dewiki') AS BIGINT) AS dewiki,
   date_trunc('hour', ts_event_meta_dt) AS ts
 FROM changes
 WHERE event_type = 'edit' AND event_wiki IN ('enwiki', 'dewiki') {where}
@@ -155,6 +156,7 @@ FROM axes LEFT JOIN counts ON counts.event_wiki = axes.event_wiki AND counts.eve
   AND counts.t = axes.t
 """
 
+# The plain definition: count over a sliding range.
 _BACK = "RANGE BETWEEN INTERVAL 900 SECOND PRECEDING AND CURRENT ROW"
 _FORTH = "RANGE BETWEEN CURRENT ROW AND INTERVAL 900 SECOND FOLLOWING"
 
@@ -204,8 +206,8 @@ def _stream_counts(where: str) -> str:
     return f"""{_RECEIVED},
 seen AS (SELECT * FROM keyed WHERE TRUE {where})
 SELECT {_DAY} AS date, {_HOUR} AS hour, event_wiki, COUNT(*) AS count_bot_flagignore,
-  CAST(coalesce(SUM(CASE WHEN event_bot = TRUE THEN 1 END), 0) AS BIGINT) AS count_bot_true,
-  CAST(coalesce(SUM(CASE WHEN event_bot = FALSE THEN 1 END), 0) AS BIGINT) AS count_bot_false
+  COUNT(*) FILTER (WHERE event_bot) AS count_bot_true,
+  COUNT(*) FILTER (WHERE NOT event_bot) AS count_bot_false
 FROM seen
 WHERE date_trunc('hour', ts_event_meta_dt) + INTERVAL 1 HOUR
   <= (SELECT MAX(ts_event_meta_dt) FROM seen) - INTERVAL 1 HOUR
@@ -329,14 +331,14 @@ def oracle_sql() -> dict[str, str]:
         "timetrend_raw_nobots": _trend_raw("AND event_bot = FALSE"),
         "busiest_hours": f"""{_TABLE} SELECT {hourly} GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10""",
         "daily_rates": f"""{_TABLE} SELECT {_DAY} AS date, CAST(COUNT(*) AS DOUBLE) / 86400.0::DOUBLE AS total_per_sec,
-            CAST(SUM(CASE WHEN event_type = 'edit' THEN 1 END) AS DOUBLE) / 86400.0::DOUBLE AS edits_per_sec
+            CAST(SUM(1) FILTER (WHERE event_type = 'edit') AS DOUBLE) / 86400.0::DOUBLE AS edits_per_sec
             FROM changes GROUP BY 1""",
         "top_pages": f"""{_TABLE} SELECT event_title, COUNT(*) AS c FROM changes
             WHERE ts_event_meta_dt >= TIMESTAMP '2024-01-05 00:00:00' AND event_type = 'edit'
               AND event_wiki = 'enwiki' {_PREFIXES}
             GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
-        "breakdown_sums": f"{_WITH_BOTS} SELECT * FROM q",
-        "breakdown_totals": f"{_WITH_BOTS} SELECT * FROM totals",
+        "breakdown_sums": f"{_WITH_BOTS} SELECT * FROM sums",
+        "breakdown_totals": f"{_WITH_BOTS} SELECT * FROM whole",
         "breakdown_segments": f"""{_WITH_BOTS} SELECT event_wiki,
             CAST(SUM(sum) AS DOUBLE) / CAST(MAX(total) AS DOUBLE) AS rel_sum FROM labelled
             WHERE event_wiki IS NOT NULL GROUP BY 1""",
@@ -374,8 +376,8 @@ def oracle_sql() -> dict[str, str]:
             spans AS (SELECT CAST(row_number() OVER (ORDER BY c DESC, event_title) - 1 AS INTEGER) AS series_no,
               'enwiki' AS event_wiki, event_title, TIMESTAMP '2024-01-09 00:00:00' AS lo,
               TIMESTAMP '2024-01-31 00:00:00' AS hi FROM top) {_HISTORIES}""",
-        "wiki_breakdown": f"{_WITH_BOTS} SELECT event_wiki, sum, rel_sum, cumsum, rel_cumsum FROM b",
-        "wiki_breakdown_nobots": f"{_NO_BOTS} SELECT event_wiki, sum, rel_sum, cumsum, rel_cumsum FROM b",
+        "wiki_breakdown": f"{_WITH_BOTS} SELECT event_wiki, sum, rel_sum, cumsum, rel_cumsum FROM shares",
+        "wiki_breakdown_nobots": f"{_NO_BOTS} SELECT event_wiki, sum, rel_sum, cumsum, rel_cumsum FROM shares",
         "burst_counts": f"{_BURSTS} SELECT window_end, c FROM b",
         "peak_burst": f"{_BURSTS} SELECT window_end, c FROM b ORDER BY c DESC, window_end LIMIT 1",
         "burst_counts_forward": f"{_BURSTS} SELECT window_start, c FROM f",

@@ -57,14 +57,8 @@ _dump_folders: dict[tuple[str, str], str] = {}
 
 def plain_times(result: DataFrame) -> DataFrame:
     """Times as UTC wall-clock ones, as the given tables have them."""
-    return result.select(
-        *[
-            F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
-            if f.dataType.typeName() == "timestamp"
-            else F.col(f"`{f.name}`")
-            for f in result.schema.fields
-        ]
-    )
+    times = [name for name, kind in result.dtypes if kind == "timestamp"]
+    return result.withColumns({name: F.col(f"`{name}`").cast("timestamp_ntz") for name in times})
 
 
 def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,9 +67,9 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
     Each 500th event is followed by a line cut off in the middle.
     """
     events = mapping.with_repeats(mapping.source_events(spark, folder))
-    ts = F.date_trunc("MILLISECOND", F.col("ts")).alias("ts_event_meta_dt")
+    ts = "date_trunc('MILLISECOND', ts) AS ts_event_meta_dt"
     broken = F.col("_number") % 500 == 0
-    lines = mapping.json_lines(mapping.to_staged(events, ts, F.col("event_id").alias("_number")))
+    lines = mapping.json_lines(mapping.to_staged(events, ts, "event_id AS _number"))
     whole_and_cut = F.when(broken, F.array("value", F.substring("value", 1, 20))).otherwise(F.array("value"))
     started = slices.with_slice_start(lines)
     return started.select(
@@ -525,9 +519,8 @@ def q_peak_burst_forward(spark, d):
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The given events as a file stream, repetitions and test events included, with keys."""
-    schema = mapping.source_events(spark, folder).schema
     # A pattern, as a stream cannot start from the name of one file; the table may be a folder too.
-    source = spark.readStream.schema(schema).parquet(f"{folder}/events.parquet*")
+    source = spark.readStream.schema(mapping.SOURCE_SCHEMA).parquet(f"{folder}/events.parquet*")
     staged = mapping.to_staged(mapping.with_repeats(source))
     return staging.add_content_key(staged).select(*EVENT_COLUMNS)
 
