@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import simhash, tokens
+from changetide.llm import quality, simhash, tokens, toxicity
 from changetide.llm.common import table
 
 
@@ -19,6 +19,14 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op9_toxicity]
     return {f.__name__: f for f in found}
