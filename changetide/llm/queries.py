@@ -7,9 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import quality, simhash, tokens, toxicity
+from changetide.llm import packing, quality, simhash, tokens, toxicity
 from changetide.llm.common import table
 
+#: The vocabulary of byte_bpe_50k.json in the form that is fastest to encode with.
+PACKING = {
+    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+    "special": {"<|endoftext|>": 50256},
+}
+
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -23,10 +30,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), **PACKING)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op9_toxicity]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op6_best_fit_packing, op9_toxicity]
     return {f.__name__: f for f in found}
