@@ -70,13 +70,9 @@ def linked_classes(keyed: DataFrame, near: Near) -> DataFrame:
         F.lead("item").over(order).isNotNull().alias("more"),
     ).where(F.col("before").isNotNull() | F.col("more"))
     met, met_folder = stored(met, "met")
-    tried = met.where(F.col("before").isNotNull()).select(
-        "item", F.explode(F.array_distinct(F.array("lowest", "before"))).alias("other")
-    )
-    links, links_folder = stored(
-        tried.where(near(F.col("item"), F.col("other"))).select(F.col("item").alias("a"), F.col("other").alias("b")).distinct(),
-        "links",
-    )
+    held = F.filter(F.array_distinct(F.array("lowest", "before")), lambda other: near(F.col("item"), other))
+    linked = met.where(F.col("before").isNotNull()).select(F.col("item").alias("a"), F.explode(held).alias("b"))
+    links, links_folder = stored(linked.distinct(), "links")
     early, early_folder = stored(classes(links), "early")
     placed = met.select("bucket", "item", "side").join(early, "item", "left").withColumn("root", F.coalesce("root", "item"))
     mixed = Window.partitionBy("bucket")
