@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import packing, quality, simhash, tokens, toxicity, warc
+from changetide.llm import packing, quality, repeats, simhash, tokens, toxicity, warc
 from changetide.llm.common import table
 
 #: The vocabulary of byte_bpe_50k.json in the form that is fastest to encode with.
@@ -38,10 +38,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_spans(table(spark, sf_dir, "documents"), match=100)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op6_best_fit_packing, op7_warc, op9_toxicity]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity]
     return {f.__name__: f for f in found}
