@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from changetide.llm import chat
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat_formatting": chat.SQL}

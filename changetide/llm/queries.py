@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import packing, quality, repeats, simhash, tokens, toxicity, warc
+from changetide.llm import chat, fingerprints, packing, quality, repeats, simhash, tokens, toxicity, warc
 from changetide.llm.common import table
 
 #: The vocabulary of byte_bpe_50k.json in the form that is fastest to encode with.
@@ -30,6 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), **PACKING)
 
@@ -46,6 +50,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op5_document_fingerprints, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity, op10_chat_formatting]
     return {f.__name__: f for f in found}
