@@ -11,7 +11,6 @@ Texts lie in chunks of a few MiB that are written once; then
    string, to suffix buckets, each sorted alone by key, id and place; all but the first of equal
    strings are repeats. Long ties cannot arise: the key has the whole string.
 
-A chunk sends each key to its bucket once, so a passage that all documents share costs a row per chunk.
 Between chunks and buckets go packed arrays, and bits back; memory is bounded by a chunk or a bucket.
 Exact copies of a text never enter: all of their strings start earlier.
 """
@@ -28,11 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from changetide.llm.common import map_arrow, ship, stored, text_or_empty
-from changetide.session import drop_scratch
 
 #: A difference set; every difference modulo 57 occurs among its elements.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
-CHUNK = 4 << 20
+CHUNK = 1_000_000
 #: Sampled windows of a bucket, about.
 BUCKET = 1 << 20
 _LAST = np.iinfo(np.int64).max
@@ -82,53 +80,52 @@ class Chunk:
 
     def fitting(self, width: int) -> np.ndarray:
         """Whether a window starting at each position stays in its text."""
-        change = np.zeros(len(self.data) + 1, np.int32)
+        change = np.zeros(len(self.data) + 1, np.int8)
         long = self.sizes >= width
-        np.add.at(change, self.starts[long], 1)
-        np.add.at(change, self.ends[long] - width + 1, -1)
-        return np.cumsum(change[:-1]) > 0
+        change[self.starts[long]] += 1
+        change[self.ends[long] - width + 1] -= 1
+        return np.cumsum(change[:-1], dtype=np.int8) > 0
 
-    def sample(self, width: int) -> np.ndarray:
-        """Positions of the cover whose window stays in its text."""
+    def sampled(self, match: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the cover whose window stays in its text, and keys of the windows, by bucket."""
+        width = match - PERIOD + 1
         rows = np.arange(0, len(self.data), PERIOD)[:, None] + np.array(COVER)
         at = rows.ravel()
         at = at[at < len(self.data)]
-        return at[self.fitting(width)[at]]
-
-    def sampled_keys(self, match: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Sample, its distinct keys in order, each position's key, and which keys occur twice here."""
-        width = match - PERIOD + 1
-        at = self.sample(width)
-        keys = Windows(self.data, 1)(at, width) >> np.uint64(32 - bits)
-        found, place, times = np.unique(keys, return_inverse=True, return_counts=True)
-        return at, found, place, times > 1
+        at = at[self.fitting(width)[at]]
+        return by_bucket(at, Windows(self.data, 1)(at, width), bits)
 
     def candidates(self, live: np.ndarray, match: int) -> np.ndarray:
         """Positions that have a live window within the shift, and a whole string ahead of them."""
         change = np.zeros(len(self.data) + 1, np.int32)
+        live = np.sort(live)
         text = np.searchsorted(self.ends, live, side="right")
         np.add.at(change, np.maximum(self.starts[text], live - PERIOD + 1), 1)
-        np.add.at(change, live + 1, -1)
+        change[live + 1] -= 1
         return np.flatnonzero((np.cumsum(change[:-1]) > 0) & self.fitting(match))
 
-    def strings(self, at: np.ndarray, match: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of the candidates' strings, distinct and in order; a check; first position; each one's key."""
-        keys = Windows(self.data, 2)(at, match)
-        found, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        check = (Windows(self.data, 3)(at[first], match) >> np.uint64(32)).astype(np.uint32)
-        return found, check, at[first], place
+    def strings(self, at: np.ndarray, match: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates and keys of their strings, by bucket."""
+        return by_bucket(at, Windows(self.data, 2)(at, match), bits)
 
     def removed(self, repeats: np.ndarray, match: int) -> np.ndarray:
+        """Bytes that the strings starting at distinct positions cover."""
         change = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(change, repeats, 1)
-        np.add.at(change, repeats + match, -1)
+        change[repeats] += 1
+        change[repeats + match] -= 1
         return np.cumsum(change[:-1]) > 0
 
 
-def segments(keys: np.ndarray, shift: int) -> Iterator[tuple[int, int, int]]:
-    """Bucket, start and end of the runs of sorted keys with equal high bits."""
+def by_bucket(at: np.ndarray, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and keys in order of the keys' highest bits, else as they are."""
+    order = np.argsort((keys >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint64), kind="stable")
+    return at[order], keys[order]
+
+
+def segments(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
+    """Bucket, start and end of the runs of keys with equal highest bits."""
     if len(keys):
-        buckets = (keys >> np.uint64(shift)).astype(np.int64)
+        buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
         edges = np.flatnonzero(np.diff(buckets, prepend=-1))
         yield from zip(buckets[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(keys)], strict=True)
 
@@ -162,7 +159,7 @@ def chunk_texts(texts: DataFrame, most: int) -> DataFrame:
                 writer.write_table(rest)
             ids = whole.column("_order").to_numpy().astype(np.int64).tobytes()
             sizes = np.array([len(d) for d in data], np.int64).tobytes()
-            row = [[number], [ids], [sizes], [b"".join(data)], [sink.getvalue().to_pybytes()]]
+            row = [[number], [ids], [sizes], [pa.compress(b"".join(data), "zstd", asbytes=True)], [sink.getvalue().to_pybytes()]]
             kinds = [pa.int64(), *[pa.binary()] * 4]
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["chunk", "ids", "sizes", "data", "rest"])
 
@@ -183,40 +180,38 @@ def chunk_texts(texts: DataFrame, most: int) -> DataFrame:
 
 
 def chunk_of(row: dict) -> Chunk:
-    return Chunk(*(np.frombuffer(row[n], k) for n, k in (("data", np.uint8), ("ids", np.int64), ("sizes", np.int64))))
+    ids, sizes = (np.frombuffer(row[n], np.int64) for n in ("ids", "sizes"))
+    data = pa.decompress(row["data"], int(sizes.sum()), "zstd", asbytes=True) if sizes.sum() else b""
+    return Chunk(np.frombuffer(data, np.uint8), ids, sizes)
 
 
 def sample_blobs(chunks: DataFrame, match: int, bits: int) -> DataFrame:
-    """Sampled keys by bucket: chunk, bucket, keys (low halves), twice (bits)."""
+    """Sampled windows by bucket: chunk, bucket, keys (the 32 bits after the bucket's)."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1).to_pylist()[0]
-                _, keys, _, twice = chunk_of(one).sampled_keys(match, bits)
-                low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                parts = list(segments(keys, 32))
+                _, keys = chunk_of(one).sampled(match, bits)
+                low = (keys >> np.uint64(32 - bits)).astype(np.uint32)
+                parts = list(segments(keys, bits))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "chunk": pa.array([one["chunk"]] * len(parts), pa.int64()),
                         "bucket": pa.array([b for b, _, _ in parts], pa.int64()),
                         "keys": pa.array([low[i:j].tobytes() for _, i, j in parts], pa.binary()),
-                        "twice": pa.array([packed(twice[i:j]) for _, i, j in parts], pa.binary()),
                     }
                 )
 
-    schema = "chunk bigint, bucket bigint, keys binary, twice binary"
-    return map_arrow(chunks.select("chunk", "ids", "sizes", "data"), work, schema)
+    return map_arrow(chunks.select("chunk", "ids", "sizes", "data"), work, "chunk bigint, bucket bigint, keys binary")
 
 
 def rank_bucket(blobs: pa.Table) -> pa.Table:
-    """Which keys of a bucket more than one chunk has, or one chunk twice: chunk, bucket, kind 1, flags."""
+    """Which windows of a bucket are there twice: chunk, bucket, kind 1, flags."""
     keys = [np.frombuffer(k, np.uint32) for k in blobs.column("keys").to_pylist()]
-    twice = [unpacked(t, len(k)) for t, k in zip(blobs.column("twice").to_pylist(), keys, strict=True)]
-    ordered = np.sort(np.concatenate([np.concatenate(keys), *(k[t] for k, t in zip(keys, twice, strict=True))]))
+    ordered = np.sort(np.concatenate(keys))
     live = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    flags = [packed(is_among(k, live)) for k in keys]
-    return answer(blobs, 1, flags)
+    return answer(blobs, 1, [packed(is_among(k, live)) for k in keys])
 
 
 def is_among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -230,26 +225,28 @@ def answer(blobs: pa.Table, kind: int, flags: list[bytes]) -> pa.Table:
     return pa.table([blobs.column("chunk"), blobs.column("bucket"), kinds, pa.array(flags, pa.binary())], ["chunk", "bucket", "kind", "flags"])
 
 
-def flags_of(answers: pa.Table, kind: int) -> np.ndarray:
+def flags_of(answers: pa.Table, kind: int) -> list[bytes]:
     """Flags of all buckets of a chunk, in order, as packed pieces that end on whole bytes."""
     rows = sorted((r["bucket"], r["flags"]) for r in answers.to_pylist() if r["kind"] == kind)
     return [f for _, f in rows]
 
 
-def joined_flags(pieces: list[bytes], keys: np.ndarray, shift: int) -> np.ndarray:
-    """One flag per sorted key from the pieces of its buckets."""
-    parts = [unpacked(piece, j - i) for piece, (_, i, j) in zip(pieces, segments(keys, shift), strict=True)]
+def joined_flags(pieces: list[bytes], keys: np.ndarray, bits: int) -> np.ndarray:
+    """One flag per key from the pieces of its buckets."""
+    parts = [unpacked(piece, j - i) for piece, (_, i, j) in zip(pieces, segments(keys, bits), strict=True)]
     return np.concatenate(parts) if parts else np.zeros(0, bool)
 
 
 def find_candidates(chunk: Chunk, answers: pa.Table, match: int, bits: int) -> np.ndarray:
-    at, keys, place, _ = chunk.sampled_keys(match, bits)
-    live = joined_flags(flags_of(answers, 1), keys, 32)
-    return chunk.candidates(at[live[place]], match)
+    at, keys = chunk.sampled(match, bits)
+    return chunk.candidates(at[joined_flags(flags_of(answers, 1), keys, bits)], match)
 
 
 def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """For a chunk and its ranked sample: candidate strings by bucket, with the id of the first text that has each."""
+    """For a chunk and its ranked sample: candidate strings by bucket, in order of their texts' ids.
+
+    Keys have 64 bits after the bucket's and eight more: 80 bits with the 256 buckets of 250 GB.
+    """
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         columns: dict[str, list] = {n: [] for n in ("chunk", "bucket", "keys", "checks", "owners")}
@@ -257,10 +254,14 @@ def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             chunk = chunk_of(one)
             at = find_candidates(chunk, right, match, bits)
             if len(at):
-                keys, checks, first, _ = chunk.strings(at, match)
-                owners = chunk.ids[np.searchsorted(chunk.ends, first, side="right")]
-                for bucket, i, j in segments(keys, 64 - bits):
-                    for name, value in zip(columns, (one["chunk"], bucket, keys[i:j].tobytes(), checks[i:j].tobytes(), owner_bytes(owners[i:j])), strict=True):
+                at, keys = chunk.strings(at, match, bits)
+                more = Windows(chunk.data, 3)(at, match)
+                low = keys << np.uint64(bits) | more >> np.uint64(64 - bits)
+                checks = more.astype(np.uint8)
+                owners = chunk.ids[np.searchsorted(chunk.ends, at, side="right")]
+                for bucket, i, j in segments(keys, bits):
+                    values = (one["chunk"], bucket, low[i:j].tobytes(), checks[i:j].tobytes(), owner_bytes(owners[i:j]))
+                    for name, value in zip(columns, values, strict=True):
                         columns[name].append(value)
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 3]
         return pa.table([pa.array(c, k) for c, k in zip(columns.values(), kinds, strict=True)], list(columns))
@@ -269,29 +270,40 @@ def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
 
 
 def owner_bytes(owners: np.ndarray) -> bytes:
-    """Ids as a list of the distinct ones and places in it."""
-    ids, place = np.unique(owners, return_inverse=True)
-    kind = np.uint16 if len(ids) <= 1 << 16 else np.uint32
-    return np.array([len(ids)], np.int64).tobytes() + ids.tobytes() + place.astype(kind).tobytes()
+    """Ids as runs: id and length of each."""
+    edges = np.flatnonzero(np.diff(owners)) + 1
+    starts = np.concatenate(([0], edges))
+    return np.stack([owners[starts], np.diff(np.append(starts, len(owners)))]).tobytes()
 
 
 def owners_from(data: bytes) -> np.ndarray:
-    size = int(np.frombuffer(data, np.int64, 1)[0])
-    ids = np.frombuffer(data, np.int64, size, 8)
-    return ids[np.frombuffer(data, np.uint16 if size <= 1 << 16 else np.uint32, -1, 8 + 8 * size)]
+    ids, times = np.frombuffer(data, np.int64).reshape(2, -1)
+    return np.repeat(ids, times)
 
 
 def sort_bucket(blobs: pa.Table) -> pa.Table:
-    """Sort the strings of a suffix bucket; all but the first of equal ones are repeats: kind 2."""
+    """Sort the strings of a suffix bucket; all but the first of equal ones are repeats: kind 2.
+
+    In a chunk strings come in order, so of equal ids the earlier chunk's, then the earlier one, is first.
+    """
     blobs = blobs.sort_by("chunk")
     keys = [np.frombuffer(k, np.uint64) for k in blobs.column("keys").to_pylist()]
-    checks = np.concatenate([np.frombuffer(c, np.uint32) for c in blobs.column("checks").to_pylist()])
+    checks = np.concatenate([np.frombuffer(c, np.uint8) for c in blobs.column("checks").to_pylist()])
     owners = np.concatenate([owners_from(o) for o in blobs.column("owners").to_pylist()])
     whole = np.concatenate(keys)
-    order = np.lexsort((owners, checks, whole))  # stable: of equal ids the earlier chunk is first
-    same = (whole[order[1:]] == whole[order[:-1]]) & (checks[order[1:]] == checks[order[:-1]])
-    repeat = np.zeros(len(whole), bool)
-    repeat[order[1:][same]] = True
+    order = np.argsort(whole, kind="stable")
+    new_key = np.append(True, whole[order[1:]] != whole[order[:-1]])
+    new = new_key | np.append(True, checks[order[1:]] != checks[order[:-1]])
+    if (new & ~new_key).any():  # different strings under one key
+        order = np.lexsort((checks, whole))
+        new = np.append(True, (whole[order[1:]] != whole[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]]))
+    starts, owned = np.flatnonzero(new), owners[order]
+    least = np.repeat(np.minimum.reduceat(owned, starts), np.diff(np.append(starts, len(owned))))
+    group = np.cumsum(new) - 1
+    smallest = np.flatnonzero(owned == least)
+    first = smallest[np.append(True, group[smallest[1:]] != group[smallest[:-1]])]
+    repeat = np.ones(len(whole), bool)
+    repeat[order[first]] = False
     return answer(blobs, 2, [packed(r) for r in np.split(repeat, np.cumsum([len(k) for k in keys])[:-1])])
 
 
@@ -305,9 +317,8 @@ def cut_chunk(match: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table
             repeats = np.zeros(0, np.int64)
             at = find_candidates(chunk, right, match, bits)
             if len(at):
-                keys, _, first, place = chunk.strings(at, match)
-                elsewhere = joined_flags(flags_of(right, 2), keys, 64 - bits)
-                repeats = at[elsewhere[place] | (at != first[place])]
+                at, keys = chunk.strings(at, match, bits)
+                repeats = at[joined_flags(flags_of(right, 2), keys, bits)]
             removed = chunk.removed(repeats, match)
             kept = (chunk.data[i:j][~removed[i:j]].tobytes() for i, j in zip(chunk.starts, chunk.ends, strict=True))
             total = np.concatenate(([0], np.cumsum(removed)))
@@ -352,7 +363,7 @@ def remove_repeats(
         F.struct(*others).alias("rest"),
     ).withColumn("key", F.md5("text"))
     # Stored, so that a text with very many copies is a skewed join that Spark splits.
-    firsts, first_folder = stored(named.groupBy("key").agg(F.min("id").alias("first")), "firsts")
+    firsts, _ = stored(named.groupBy("key").agg(F.min("id").alias("first")), "firsts")
     placed = named.join(firsts, "key")
     chunks, _ = stored(chunk_texts(placed.where(F.col("id") == F.col("first")).select("id", "text", "rest"), chunk_bytes), "chunks")
     sampled = (chunks.agg(F.sum(F.octet_length("data"))).first()[0] or 0) * len(COVER) // PERIOD
