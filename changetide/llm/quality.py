@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from changetide.llm.common import text_or_empty
+from changetide.llm.common import stored, text_or_empty
 
 #: White space between words, and signs that count as symbols.
 SPACE, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
@@ -169,6 +169,7 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host_column: str = "source",
     depleted = depleted_texts(docs, rules, host_column, text_column).select(
         F.col("host").alias("_host"), F.col("text_key").alias("_text_key"), F.lit(True).alias("_depleted")
     )
+    depleted, _ = stored(depleted, "depleted")  # so that a text with very many copies is a skewed join that Spark splits
     joined = signs.join(depleted, (host == F.col("_host")) & (F.col("_signs.text_key") == F.col("_text_key")), "left")
     kept = ~F.col("_signs.base_failed") & F.col("_depleted").isNull()
     return joined.select(*docs.columns, "_signs", kept.alias("_kept"))
