@@ -24,8 +24,8 @@ class Rules:
     """Limits; the same at every size of the corpus.
 
     A line is common if more than `line_documents` distinct texts of its host, and more than
-    `line_share` of them, have it. A document is depleted if less than `left_share` of its words
-    remain without its common lines.
+    `line_share` of them, have it. A document is depleted if less than `left_share` of the words
+    of its distinct lines remain without the common ones.
     """
 
     least_words: int = 50
@@ -81,7 +81,7 @@ def with_signs(docs: DataFrame, rules: Rules, text_column: str = "text") -> Data
     lines = F.filter(F.split("_text", "\n", -1), lambda line: F.translate(line, SPACE, "") != "")
     opened = opened.select(
         *docs.columns,
-        F.md5("_text").alias("_key"),
+        text_key(F.col("_text")).alias("_key"),
         F.size("_words").cast("long").alias("_n"),
         F.length(F.translate("_text", SPACE, "")).cast("long").alias("_chars"),
         (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long").alias("_symbols"),
@@ -109,35 +109,42 @@ def normalised(line: Column) -> Column:
 
 
 def text_lines(docs: DataFrame, host_column: str, text_column: str) -> DataFrame:
-    """Lines with a word: host, text_key, line (hash), n_words. A null host is a host of its own, named ''."""
+    """Distinct lines with a word, by text: host, text_key, line (hash), n_words.
+
+    Copies of a text in a host are one. A null host is a host of its own, named ''.
+    """
     text = docs.select(
         F.coalesce(F.col(host_column).cast("string"), F.lit("")).alias("host"), text_or_empty(text_column).alias("text")
     )
-    lines = text.select("host", F.md5("text").alias("text_key"), F.explode(F.split("text", "\n", -1)).alias("line"))
-    words = F.size(split_words(F.col("line"))).cast("long")
-    lines = lines.select("host", "text_key", F.xxhash64(normalised(F.col("line"))).alias("line"), words.alias("n_words"))
-    return lines.where(F.col("n_words") > 0)
+    lines = text.select("host", text_key(F.col("text")).alias("text_key"), F.explode(F.split("text", "\n", -1)).alias("line"))
+    words = F.size(split_words(F.col("line")))
+    lines = lines.select("host", "text_key", F.xxhash64(normalised(F.col("line"))).alias("line"), words.alias("words"))
+    counted = lines.where(F.col("words") > 0).groupBy("host", "text_key", "line")
+    return counted.agg(F.max("words").cast("long").alias("n_words"))
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
 def common_lines(lines: DataFrame, rules: Rules) -> DataFrame:
-    """Lines above the limits: host, line."""
-    per_text = lines.select("host", "line", "text_key").distinct()
-    counts = per_text.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rules.line_documents)
+    """Lines above the limits: host, line. `lines` has each line of a text once."""
+    counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rules.line_documents)
     hosts = lines.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
     return counts.join(hosts, "host").where(F.col("n") > rules.line_share * F.col("texts")).select("host", "line")
 
 
 def depleted_texts(docs: DataFrame, rules: Rules, host_column: str = "source", text_column: str = "text") -> DataFrame:
-    """Texts of which too little remains without common lines: host, text_key. Each text once a host."""
-    lines = text_lines(docs, host_column, text_column)
-    # Copies of a text are one: lines by text, with how often the text has them.
-    per_text = lines.groupBy("host", "text_key", "line", "n_words").agg(F.count(F.lit(1)).alias("times"))
-    common = common_lines(lines, rules).withColumn("common", F.lit(True))
-    words = F.col("n_words") * F.col("times")
+    """Texts of which too little remains without common lines: host, text_key. Each text once a host.
+
+    A line that a text repeats counts once, on either side.
+    """
+    lines, _ = stored(text_lines(docs, host_column, text_column), "lines")
+    common, _ = stored(common_lines(lines, rules), "common")
     left = (
-        per_text.join(common, ["host", "line"], "left")
+        lines.join(common.withColumn("common", F.lit(True)), ["host", "line"], "left")
         .groupBy("host", "text_key")
-        .agg(F.sum(words).alias("all"), F.sum(F.when(F.col("common"), F.lit(0)).otherwise(words)).alias("left"))
+        .agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("common"), F.lit(0)).otherwise(F.col("n_words"))).alias("left"))
     )
     return left.where(F.col("left") < rules.left_share * F.col("all")).select("host", "text_key")
 
