@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import chat, fingerprints, packing, quality, repeats, simhash, tokens, toxicity, warc
+from changetide.llm import chat, fingerprints, packing, pieces, quality, repeats, simhash, tokens, toxicity, warc
 from changetide.llm.common import table
 
 #: The vocabulary of byte_bpe_50k.json in the form that is fastest to encode with.
@@ -30,6 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segment(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), best=3)
+
+
 def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -55,5 +59,5 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op5_document_fingerprints, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity, op10_chat_formatting]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op4_sentencepiece, op5_document_fingerprints, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity, op10_chat_formatting]
     return {f.__name__: f for f in found}
