@@ -155,14 +155,15 @@ def burst_counts_forward(
 
 
 def _peak(events: DataFrame, column: str, seconds: int, forward: bool) -> DataFrame:
-    times = _times(events, column, forward)
-    per_tile = times.groupBy("tile").agg(F.count(F.lit(1)).alias("n"))
+    # Counted once, as by the full analysis; tiles and the close look both use these counts.
+    times = _distinct_counts(_times(events, column, forward))
+    per_tile = times.groupBy("tile").agg(F.sum("n").alias("n"))
     bounds = _tile_windows(per_tile, seconds)
     # The window of a tile's last event holds at least `lower`, no window of the tile over `upper`.
     reached = bounds.agg(F.max("lower")).scalar()
     candidates = bounds.where(F.col("upper") >= reached)
     needed = candidates.select(F.explode(F.array("tile", F.col("tile") - seconds)).alias("tile"))
-    close = _distinct_counts(times.join(needed, "tile", "left_semi"))
+    close = times.join(needed, "tile", "left_semi")
     counts = _exact_counts(close, candidates, seconds)
     time = -F.col("u") if forward else F.col("u")
     return counts.select(time.alias("u"), "c").orderBy(F.desc("c"), F.asc("u")).limit(1)

@@ -37,8 +37,8 @@ def load_fact(stats: DataFrame, at: object) -> DataFrame:
 
 
 def record_facts(facts: DataFrame, path: str) -> None:
-    """Append facts; they are few (one per file), so one file per call is enough."""
-    facts.coalesce(1).write.mode("append").parquet(path)
+    """Append facts; one per file of a load, gathered into files of a suitable size."""
+    facts.hint("rebalance").write.mode("append").parquet(path)
 
 
 def registry_state(facts: DataFrame) -> DataFrame:

@@ -8,9 +8,6 @@ from changetide.functions.columns import content_key, event_time
 from changetide.schema import CANARY_DOMAIN, EVENT_COLUMNS, LINE_SCHEMA, STAGED_COLUMNS
 from changetide.sources.tables import append_changes, read_table, with_partitions
 
-# More days than this in one batch and the merge prunes by one range instead of one per day.
-_MAX_DAY_RANGES = 64
-
 
 def _one_element(value: Column) -> Column:
     """The line as the only element of a JSON list: text after the object makes it malformed."""
@@ -81,13 +78,16 @@ def add_content_key(staged: DataFrame) -> DataFrame:
 
 
 def dedup_changes(keyed: DataFrame, first: tuple[str, ...] = ()) -> DataFrame:
-    """One row per content key, then without test events and events of unknown domain.
+    """One row per content key, without test events and events of unknown domain.
 
-    Which of several rows stays is fixed by the order of `first` and then of all event columns.
+    Of several rows of a key those with a real domain come first, so a test event never stands in for
+    a real one; which of them stays is fixed by the order of `first` and then of all event columns.
+    With the file name in `first` that is what loading the files in turn would leave.
     `row_number() = 1` is computed as a group limit on both sides of the shuffle, so of a key
     repeated a billion times each task sends one row.
     """
-    order = [F.col(c).asc_nulls_first() for c in (*first, *EVENT_COLUMNS[1:])]
+    real = F.coalesce(F.col("event_meta_domain") != CANARY_DOMAIN, F.lit(False))
+    order = [real.desc(), *(F.col(c).asc_nulls_first() for c in (*first, *EVENT_COLUMNS[1:]))]
     numbered = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("_h").orderBy(*order)))
     kept = numbered.where((F.col("_rn") == 1) & (F.col("event_meta_domain") != CANARY_DOMAIN))
     return kept.drop("_rn")
@@ -102,28 +102,36 @@ def batch_ranges(batch: DataFrame) -> DataFrame:
     )
 
 
+def _neighbours(ranges: list) -> list[tuple]:
+    """Lowest and highest text of each run of days without a gap; text sorts as its day does."""
+    runs: list[list] = []
+    for r in sorted((r for r in ranges if r["event_date"] and r["lo"] is not None), key=lambda r: r["event_date"]):
+        if runs and (r["event_date"] - runs[-1][0]).days <= 1:
+            runs[-1] = [r["event_date"], min(runs[-1][1], r["lo"]), max(runs[-1][2], r["hi"])]
+        else:
+            runs.append([r["event_date"], r["lo"], r["hi"]])
+    return [(lo, hi) for _, lo, hi in runs]
+
+
 def possible_matches(table: DataFrame, ranges: list) -> DataFrame:
     """Rows of the table that can share a key with a batch having those `batch_ranges`.
 
-    The event text is part of the key, so equal keys have the same text and the same day: other
-    partitions and row groups need not be read. (Key parts are joined by separators; texts forged
+    The event text is part of the key, so equal keys have the same text and the same day: only the
+    batch's days are read, and of them only the text ranges of neighbouring days together. Events
+    whose text is no date share one partition. (Key parts are joined by separators; texts forged
     to give the same joined text with other parts could escape the restriction.)
     """
-    text = F.col("event_meta_dt")
-    if not ranges:
-        return table.where(F.lit(False))
-    if len(ranges) <= _MAX_DAY_RANGES:
-        keep = F.lit(False)
-        for r in ranges:
-            inside = text.between(r["lo"], r["hi"]) if r["lo"] is not None else F.lit(False)
-            if r["has_null"]:
-                inside = inside | text.isNull()
-            keep = keep | (F.col("event_date").eqNullSafe(F.lit(r["event_date"])) & inside)
-        return table.where(keep)
-    days = [r["event_date"] for r in ranges if r["event_date"] is not None]
-    keep = F.col("event_date").between(min(days), max(days))
-    if any(r["event_date"] is None for r in ranges):
-        keep = keep | F.col("event_date").isNull()
+    text, day = F.col("event_meta_dt"), F.col("event_date")
+    keep = F.lit(False)
+    if days := [r["event_date"] for r in ranges if r["event_date"] is not None]:
+        inside = F.lit(False)
+        for lo, hi in _neighbours(ranges):
+            inside = inside | text.between(lo, hi)
+        keep = day.isin(days) & inside
+    for r in ranges:
+        if r["event_date"] is None:
+            same = text.between(r["lo"], r["hi"]) if r["lo"] is not None else F.lit(False)
+            keep = keep | (day.isNull() & (same | text.isNull() if r["has_null"] else same))
     return table.where(keep)
 
 

@@ -22,8 +22,8 @@ from changetide.operators.filters import (
 )
 from changetide.schema import EXCLUDED_TITLE_PREFIXES
 
-# Page lists up to this length are sent to all tasks; longer ones are joined as Spark sees fit.
-MAX_BROADCAST_SPECS = 10_000
+#: Hours of an axis that one row holds at a time.
+_AXIS_BLOCK = 8_760
 
 
 def _count_by_hour(events: DataFrame, *keys: str) -> DataFrame:
@@ -167,10 +167,9 @@ def page_specs(changes: DataFrame, pages: list[tuple]) -> DataFrame:
     specs = spark.createDataFrame(
         rows, "series_no int, event_wiki string, event_title string, tmin string, tmax string"
     )
-    specs = specs.withColumns(
+    return specs.withColumns(
         {"tmin": F.col("tmin").cast("timestamp"), "tmax": F.col("tmax").cast("timestamp")}
     )
-    return F.broadcast(specs) if len(rows) <= MAX_BROADCAST_SPECS else specs
 
 
 def _bound_text(bound: dt.date) -> str:
@@ -201,23 +200,18 @@ def page_history(
     edits = edits_only(changes)
     if not isinstance(pages, DataFrame):
         edits = wiki_in_list(edits, sorted({p[0] for p in pages}))
+    if bounds := _common_bounds(pages, tmin, tmax):
+        edits = _between(edits, *bounds)
     page = ["event_wiki", "event_title"]
     listed = edits.join(specs.select(*page), page, "left_semi")
     counts = _count_by_hour(listed, *page).where(F.col("t").isNotNull())
-    spans = counts.groupBy(*page).agg(
-        F.min("t").alias("first_t"), F.max("t").alias("last_t"), F.sum("c").alias("edits")
-    )
-    start = F.coalesce("tmin", lower, "first_t")
-    stop = F.coalesce("tmax", upper, "last_t")
-    hours = F.sequence(start, stop, F.expr("INTERVAL 1 HOUR"))
-    axis = specs.join(spans, page, "left").select(
-        "series_no",
-        *page,
-        # Reversed bounds give no rows; `sequence` itself would fail on them. The number of edits
-        # is looked at so that spans and counts are the same aggregation, which is then done once.
-        F.explode(F.when((start <= stop) & (F.coalesce("edits", F.lit(0)) >= 0), hours)).alias("t"),
-    )
-    filled = axis.withColumn("t", hour_start(F.col("t"))).join(counts, [*page, "t"], "left")
+    spanned = specs
+    if not bounds and not (isinstance(pages, DataFrame) and tmin is not None and tmax is not None):
+        spans = counts.groupBy(*page).agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
+        spanned = specs.join(spans, page, "left")
+        lower, upper = F.coalesce(lower, "first_t"), F.coalesce(upper, "last_t")
+    axis = _hours(spanned.select("series_no", *page, F.coalesce("tmin", lower).alias("lo"), F.coalesce("tmax", upper).alias("hi")))
+    filled = axis.join(counts, [*page, "t"], "left")
     return filled.select(
         "series_no",
         series_label(F.col("event_wiki"), F.col("event_title")).alias("series"),
@@ -226,6 +220,51 @@ def page_history(
     )
 
 
+def _common_bounds(pages: list[tuple] | DataFrame, tmin: dt.date | None, tmax: dt.date | None) -> tuple | None:
+    """Lowest and highest time that any page asks for; None if some page lacks a bound."""
+    if isinstance(pages, DataFrame):
+        # Rows may bring bounds of their own, which are not known here.
+        return None
+    ranges = [((*p[2:], None, None)[0] or tmin, (*p[2:], None, None)[1] or tmax) for p in pages]
+    if not ranges or any(a is None or b is None for a, b in ranges):
+        return None
+    lowest, highest = sorted(map(_moment, (a for a, _ in ranges)))[0], sorted(map(_moment, (b for _, b in ranges)))[-1]
+    return lowest, highest
+
+
+def _moment(bound: dt.date) -> dt.datetime:
+    """A bound as a time of day in UTC without zone."""
+    if not isinstance(bound, dt.datetime):
+        return dt.datetime(bound.year, bound.month, bound.day)
+    return bound.astimezone(dt.timezone.utc).replace(tzinfo=None) if bound.tzinfo else bound
+
+
+def _between(events: DataFrame, lowest: dt.datetime, highest: dt.datetime) -> DataFrame:
+    """Events of the hours from one time to another; the days are given to a partitioned table too."""
+    start = lowest.replace(minute=0, second=0, microsecond=0)
+    kept = since_filter(events, start).where(F.col(TS) < at(highest) + F.expr("INTERVAL 1 HOUR"))
+    if "event_date" in events.columns:
+        kept = kept.where(F.col("event_date") <= F.date_add(at(highest).cast("date"), 2))
+    return kept
+
+
+def _hours(spans: DataFrame) -> DataFrame:
+    """The hours from `lo` in steps of one while not past `hi`, cut to whole hours, a row each: `t`.
+
+    Reversed or missing bounds give no rows. Long spans are laid out in blocks, so no row ever holds
+    more than a year of hours.
+    """
+    steps = F.floor((F.unix_micros("hi") - F.unix_micros("lo")) / 3_600_000_000)
+    kept = spans.withColumn("_steps", steps).where(F.col("_steps") >= 0)
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("_steps") / _AXIS_BLOCK)))
+    blocks = kept.withColumn("_block", block).withColumn("_from", F.col("_block") * _AXIS_BLOCK)
+    number = F.explode(F.sequence("_from", F.least(F.col("_from") + (_AXIS_BLOCK - 1), "_steps")))
+    numbered = blocks.withColumn("_number", number)
+    start = F.unix_micros(hour_start(F.col("lo")))
+    t = F.timestamp_micros(start + F.col("_number") * 3_600_000_000)
+    return numbered.withColumn("t", t).drop("lo", "hi", "_steps", "_block", "_from", "_number")
+
+
 def page_history_filled(
     changes: DataFrame,
     wiki: str,
@@ -258,17 +297,18 @@ def top_pages_history(
     """Histories of the most edited pages on a common time axis; `series_no` is the rank from 0."""
     if not isinstance(tmin, dt.date) or not isinstance(tmax, dt.date):
         raise ValueError("a time range bound must be a date or a datetime")
-    if not 0 < first <= MAX_BROADCAST_SPECS:
-        raise ValueError(f"number of pages must be between 1 and {MAX_BROADCAST_SPECS}")
+    if first < 1:
+        raise ValueError("number of pages must be positive")
     top = top_pages(changes, wiki, since, n=first)
-    # At most `first` rows are numbered, and sent to all tasks.
+    # The limit has put its `first` rows in order in one place; they are numbered there.
     rank = F.row_number().over(Window.orderBy(F.desc("c"), "event_title")) - 1
     ranked = top.select(rank.alias("series_no"), "event_title")
     specs = ranked.select(
         "series_no",
         F.lit(wiki).alias("event_wiki"),
         "event_title",
-        at(tmin).alias("tmin"),
-        at(tmax).alias("tmax"),
+        F.lit(None).cast("timestamp").alias("tmin"),
+        F.lit(None).cast("timestamp").alias("tmax"),
     )
-    return page_history(wiki_filter(changes, wiki), F.broadcast(specs))
+    within = _between(wiki_filter(changes, wiki), _moment(tmin), _moment(tmax))
+    return page_history(within, specs, tmin, tmax)

@@ -47,6 +47,7 @@ def stage_lines(lines: DataFrame, folder: str) -> DataFrame:
         "decodable",
         "has_meta",
         F.col("corrupt_text").isNotNull().alias("ill_typed"),
+        F.col("value").isNotNull().alias("is_line"),
         *EVENT_COLUMNS,
         "event_date",
     )
@@ -57,7 +58,9 @@ def stage_lines(lines: DataFrame, folder: str) -> DataFrame:
 def merge_staged(staged: DataFrame, target: str, load_id: str) -> DataFrame:
     """Merge a staging table into the event table; returns the counts per file.
 
-    A key found in several files is credited to the first by name, as if they were loaded in turn.
+    A key found in several files is credited to the first by name that has it as a real event, as if
+    they were loaded in turn. `deduplicated` are a file's keys with a real event, which are those that
+    de-duplication leaves of the file alone.
     What was merged is counted in the table itself by `load_id`, so the number is right also if an
     interrupted load was run again under its id.
     """
@@ -70,8 +73,8 @@ def merge_staged(staged: DataFrame, target: str, load_id: str) -> DataFrame:
 
     distinct_key = F.when(F.col("has_meta") & (F.col("event_meta_domain") != CANARY_DOMAIN), F.col("_h"))
     counts = staged.groupBy("filename").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(~F.col("decodable")).alias("undecodable"),
+        F.count_if("is_line").alias("lines"),
+        F.count_if(F.col("is_line") & ~F.col("decodable")).alias("undecodable"),
         F.count_if("has_meta").alias("staged"),
         F.count_if("ill_typed").alias("ill_typed"),
         F.count_distinct(distinct_key).alias("deduplicated"),
@@ -128,17 +131,19 @@ def load_batch(
         ensure_registry(spark, registry)
         record_facts(timestamp_fact(names, "load_begin", now()), registry)
     folder = scratch_dir(spark, "staged")
-    staged = stage_lines(read_dumps(spark, files, glob), folder)
-    counts = names.join(merge_staged(staged, target, load_id), "filename", "left").fillna(0)
-    # Stored, as they are counted in the staging table.
-    stats_folder = scratch_dir(spark, "load-stats")
-    counts.write.parquet(stats_folder)
-    stats = spark.read.schema(counts.schema).parquet(stats_folder)
-    if registry:
-        record_facts(load_fact(stats, now()), registry)
-    if rollups:
-        refresh_rollups(spark, target, rollups, staged_days(staged))
-    drop_scratch(spark, folder)
+    try:
+        staged = stage_lines(read_dumps(spark, files, glob), folder)
+        counts = names.join(merge_staged(staged, target, load_id), "filename", "left").fillna(0)
+        # Stored, as they are counted in the staging table.
+        stats_folder = scratch_dir(spark, "load-stats")
+        counts.write.parquet(stats_folder)
+        stats = spark.read.schema(counts.schema).parquet(stats_folder)
+        if registry:
+            record_facts(load_fact(stats, now()), registry)
+        if rollups:
+            refresh_rollups(spark, target, rollups, staged_days(staged))
+    finally:
+        drop_scratch(spark, folder)
     return stats
 
 

@@ -48,7 +48,8 @@ _COLUMNS = """_h, ts_event_meta_dt, event_meta_dt, event_meta_id, event_meta_dom
 # The event table.
 _TABLE = f"""{_RECEIVED},
 ordered AS (
-  SELECT *, row_number() OVER (PARTITION BY _h ORDER BY ts_event_meta_dt NULLS FIRST,
+  SELECT *, row_number() OVER (PARTITION BY _h ORDER BY
+    (event_meta_domain IS NOT NULL AND event_meta_domain <> 'canary') DESC, ts_event_meta_dt NULLS FIRST,
     event_meta_dt NULLS FIRST, event_meta_id NULLS FIRST, event_meta_domain NULLS FIRST,
     event_id NULLS FIRST, event_type NULLS FIRST, event_wiki NULLS FIRST, event_user NULLS FIRST,
     event_bot NULLS FIRST, event_title NULLS FIRST) AS rn
@@ -86,26 +87,34 @@ _PREFIXES = " ".join(f"AND NOT starts_with(event_title, '{p}')" for p in EXCLUDE
 
 
 def _breakdown(counter: str, cum_total: str) -> str:
-    return f"""{_ROLLED},
-sums AS (
-  SELECT event_wiki, CAST(SUM(count_bot_flagignore) AS BIGINT) AS sum_bot_flagignore,
-    CAST(SUM(count_bot_true) AS BIGINT) AS sum_bot_true,
-    CAST(SUM(count_bot_false) AS BIGINT) AS sum_bot_false
-  FROM counts_all WHERE date >= DATE '2024-01-16' GROUP BY event_wiki),
+    """Shares by the definition: each wiki against all that rank before it or are itself.
+
+    Counted from the events, not from the rollup.
+    """
+    return f"""{_TABLE},
+counted AS (
+  SELECT * FROM changes
+  WHERE ts_event_meta_dt >= TIMESTAMP '2024-01-16 00:00:00'
+    AND ts_event_meta_dt < (SELECT date_trunc('hour', MAX(ts_event_meta_dt)) FROM changes)),
 whole AS (
-  SELECT CAST(SUM(sum_bot_flagignore) AS BIGINT) AS tot_bot_flagignore,
-    CAST(SUM(sum_bot_true) AS BIGINT) AS tot_bot_true,
-    CAST(SUM(sum_bot_false) AS BIGINT) AS tot_bot_false FROM sums),
-running AS (
-  SELECT event_wiki, {counter} AS sum, tot_bot_flagignore AS total, {cum_total} AS cum_total,
-    CAST(SUM({counter}) OVER (ORDER BY {counter} DESC, event_wiki ASC NULLS LAST) AS BIGINT) AS cumsum
-  FROM sums CROSS JOIN whole),
+  SELECT COUNT(*) AS tot_bot_flagignore, COUNT(CASE WHEN event_bot THEN 1 END) AS tot_bot_true,
+    COUNT(CASE WHEN NOT event_bot THEN 1 END) AS tot_bot_false FROM counted),
+sums AS (
+  SELECT event_wiki, COUNT(*) AS sum_bot_flagignore, COUNT(CASE WHEN event_bot THEN 1 END) AS sum_bot_true,
+    COUNT(CASE WHEN NOT event_bot THEN 1 END) AS sum_bot_false
+  FROM counted GROUP BY event_wiki),
+ranked AS (
+  SELECT mine.event_wiki, mine.{counter} AS sum,
+    (SELECT CAST(SUM(theirs.{counter}) AS BIGINT) FROM sums AS theirs
+     WHERE theirs.{counter} > mine.{counter}
+       OR (theirs.{counter} = mine.{counter} AND (mine.event_wiki IS NULL OR theirs.event_wiki <= mine.event_wiki))) AS cumsum
+  FROM sums AS mine),
 shares AS (
-  SELECT event_wiki, sum, CAST(sum AS DOUBLE) / CAST(total AS DOUBLE) AS rel_sum, cumsum,
-    CAST(cumsum AS DOUBLE) / CAST(cum_total AS DOUBLE) AS rel_cumsum FROM running),
+  SELECT event_wiki, sum, sum / (SELECT tot_bot_flagignore FROM whole)::DOUBLE AS rel_sum, cumsum,
+    cumsum / (SELECT {cum_total} FROM whole)::DOUBLE AS rel_cumsum FROM ranked),
 labelled AS (
-  SELECT CASE WHEN cumsum * 100 >= cum_total * 95 THEN 'other wikis' ELSE event_wiki END AS event_wiki,
-    sum, cumsum, total FROM running)
+  SELECT CASE WHEN cumsum * 100 < (SELECT {cum_total} FROM whole) * 95 THEN event_wiki ELSE 'other wikis' END AS event_wiki,
+    sum, cumsum, (SELECT tot_bot_flagignore FROM whole) AS total FROM ranked)
 """
 
 
@@ -141,11 +150,19 @@ counts AS (
   FROM changes WHERE event_type = 'edit' GROUP BY 1, 2, 3)
 """
 
-_FILLED = f"""{_PAGE_COUNTS},
-q AS (SELECT t, c FROM counts WHERE event_wiki = 'wikidatawiki' AND event_title = 'Page 51'),
-axis AS (
-  SELECT unnest(generate_series((SELECT MIN(t) FROM q), (SELECT MAX(t) FROM q), INTERVAL 1 HOUR)) AS t),
-filled AS (SELECT axis.t, coalesce(q.c, 0) AS value FROM axis LEFT JOIN q ON q.t = axis.t)
+# Every hour of the days with events, of which the page's own span is shown.
+_FILLED = f"""{_TABLE},
+page AS (
+  SELECT ts_event_meta_dt AS edited FROM changes
+  WHERE event_type = 'edit' AND event_wiki = 'wikidatawiki' AND event_title = 'Page 51'),
+days AS (SELECT DISTINCT CAST(ts_event_meta_dt AS DATE) AS day FROM changes),
+calendar AS (
+  SELECT CAST(first_day AS TIMESTAMP) + to_hours(CAST(n AS BIGINT)) AS t
+  FROM (SELECT MIN(day) AS first_day, MAX(day) AS last_day FROM days), range(0, 24 * 400) AS r(n)
+  WHERE CAST(first_day AS TIMESTAMP) + to_hours(CAST(n AS BIGINT)) < CAST(last_day AS TIMESTAMP) + INTERVAL 1 DAY),
+filled AS (
+  SELECT t, (SELECT COUNT(*) FROM page WHERE date_trunc('hour', edited) = t) AS value FROM calendar
+  WHERE EXISTS (SELECT 1 FROM page WHERE edited < t + INTERVAL 1 HOUR) AND EXISTS (SELECT 1 FROM page WHERE edited >= t))
 """
 
 _HISTORIES = """,
@@ -203,14 +220,13 @@ WITH facts AS (
 
 
 def _stream_counts(where: str) -> str:
-    return f"""{_RECEIVED},
-seen AS (SELECT * FROM keyed WHERE TRUE {where})
+    """The table's counts for the hours that ended an hour or more before its newest event."""
+    return f"""{_TABLE}
 SELECT {_DAY} AS date, {_HOUR} AS hour, event_wiki, COUNT(*) AS count_bot_flagignore,
   COUNT(*) FILTER (WHERE event_bot) AS count_bot_true,
   COUNT(*) FILTER (WHERE NOT event_bot) AS count_bot_false
-FROM seen
-WHERE date_trunc('hour', ts_event_meta_dt) + INTERVAL 1 HOUR
-  <= (SELECT MAX(ts_event_meta_dt) FROM seen) - INTERVAL 1 HOUR
+FROM changes
+WHERE date_trunc('hour', ts_event_meta_dt) + INTERVAL 2 HOUR <= (SELECT MAX(ts_event_meta_dt) FROM changes) {where}
 GROUP BY 1, 2, 3"""
 
 
@@ -256,10 +272,13 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN ts_event_meta_dt < TIMESTAMP '2024-01-15 12:34:00' THEN 'first' ELSE 'second' END AS load_id
             FROM changes""",
         "load_batch": all_changes,
-        "load_stats": f"""{_LINES} SELECT dump AS filename, COUNT(*) AS lines, COUNT(*) FILTER (WHERE ok) AS staged,
-            COUNT(DISTINCT CASE WHEN ok AND event_meta_domain <> 'canary' THEN _h END) AS deduplicated,
-            COUNT(DISTINCT CASE WHEN ok AND event_meta_domain <> 'canary' THEN _h END) AS merged
-            FROM lines GROUP BY 1""",
+        "load_stats": f"""{_LINES}, per_file AS (
+            SELECT dump, _h, bool_or(ok AND event_meta_domain <> 'canary') AS survives FROM lines GROUP BY 1, 2),
+            owners AS (SELECT _h, MIN(dump) AS dump FROM per_file WHERE survives GROUP BY 1),
+            sizes AS (SELECT dump, COUNT(*) AS lines, COUNT(*) FILTER (WHERE ok) AS staged FROM lines GROUP BY 1)
+            SELECT dump AS filename, lines, staged,
+              (SELECT COUNT(*) FROM per_file WHERE per_file.dump = sizes.dump AND survives) AS deduplicated,
+              (SELECT COUNT(*) FROM owners WHERE owners.dump = sizes.dump) AS merged FROM sizes""",
         "partitioned_event_sink": f"""{_TABLE} SELECT CAST(substr(event_meta_dt, 1, 10) AS DATE) AS event_date,
             CASE WHEN event_wiki = 'dewiki' THEN 'dewiki' WHEN event_wiki = 'enwiki' THEN 'enwiki'
               WHEN event_wiki IN ('commonswiki', 'wikidatawiki') THEN 'hightraffic' ELSE 'otherwikis' END AS wiki_group,
@@ -305,8 +324,8 @@ def oracle_sql() -> dict[str, str]:
         "drop_null_wiki": f"{_WITH_BOTS} SELECT event_wiki, sum, cumsum FROM labelled WHERE event_wiki IS NOT NULL",
         "stable_bucket": f"""{_TABLE} SELECT event_wiki, COUNT(*) AS c, {_bucket()} AS bucket FROM changes
             WHERE event_wiki IS NOT NULL GROUP BY event_wiki""",
-        "series_label": f"""{_TABLE} SELECT concat(event_wiki, '/', event_title) AS series, COUNT(*) AS c FROM changes
-            WHERE event_wiki IS NOT NULL AND event_title IS NOT NULL GROUP BY 1""",
+        "series_label": f"""{_TABLE} SELECT concat_ws('/', event_wiki, event_title) AS series, COUNT(*) AS c
+            FROM changes GROUP BY 1""",
         "bot_flags": f"""{_TABLE} SELECT event_meta_id, 1 AS count_bot_flagignore,
             CASE WHEN event_bot = TRUE THEN 1 END AS count_bot_true,
             CASE WHEN event_bot = FALSE THEN 1 END AS count_bot_false FROM changes""",
@@ -391,5 +410,6 @@ def oracle_sql() -> dict[str, str]:
         "stream_hourly_counts_edits": _stream_counts("AND event_type = 'edit'"),
         "stream_health": f"""{_RECEIVED} SELECT MAX(ts_event_meta_dt) AS last_event, {age} AS age_sec,
             CASE WHEN {age} <= 900 THEN 'OK' ELSE 'ERROR' END AS status FROM keyed""",
-        "stream_watch_user": f"{_RECEIVED} SELECT {_SHOWN} FROM keyed WHERE event_user = 'u7'",
+        "stream_watch_user": f"""{_RECEIVED} SELECT {_SHOWN} FROM keyed WHERE event_user = 'u7'
+            AND event_meta_domain IS DISTINCT FROM 'canary'""",
     }

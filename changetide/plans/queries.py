@@ -334,9 +334,9 @@ def q_stable_bucket(spark, d):
 
 
 def q_series_label(spark, d):
-    pages = mapping.event_table(spark, d).where("event_wiki IS NOT NULL AND event_title IS NOT NULL")
+    """Pages without wiki or title are labelled by what they have."""
     label = series_label(F.col("event_wiki"), F.col("event_title"))
-    return pages.groupBy(label.alias("series")).agg(F.count(F.lit(1)).alias("c"))
+    return mapping.event_table(spark, d).groupBy(label.alias("series")).agg(F.count(F.lit(1)).alias("c"))
 
 
 def q_bot_flags(spark, d):

@@ -44,6 +44,15 @@ def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
                 seq = 0
+                # The mark of a file: also one without lines is seen.
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([path.as_py()], pa.string()),
+                        pa.StructArray.from_arrays([pa.array([0]), pa.array([-1])], fields=list(position)),
+                        pa.array([None], pa.binary()),
+                    ],
+                    names=["path", "line_pos", "raw"],
+                )
                 for lines in lines_of(content.as_buffer()):
                     for start in range(0, len(lines), lines_per_batch):
                         part = lines[start : start + lines_per_batch]
@@ -62,19 +71,20 @@ def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_
     return read
 
 
-def unpack_dumps(files: DataFrame) -> DataFrame:
+def unpack_dumps(files: DataFrame, marks: bool = False) -> DataFrame:
     """`(path, content)` rows to `(path, line_pos, value)` rows, batch or streaming.
 
+    With `marks` each file also has a row without a value.
+
     Spark's text reader picks the codec by file suffix and would take a closed dump for plain text,
     hence the one Python step. Files go to it in Arrow batches limited by
     `spark.sql.execution.arrow.maxBytesPerBatch`, so a task holds a few dumps at a time. One dump is
     one hour or half a million events at most.
     """
-    return (
-        files.select("path", "content")
-        .mapInArrow(_line_reader(), LINES_SCHEMA)
-        .select("path", "line_pos", F.col("raw").cast("string").alias("value"))
-    )
+    lines = files.select("path", "content").mapInArrow(_line_reader(), LINES_SCHEMA)
+    if not marks:
+        lines = lines.where(F.col("raw").isNotNull())
+    return lines.select("path", "line_pos", F.col("raw").cast("string").alias("value"))
 
 
 def list_dumps(spark: SparkSession, folder: str | list[str], glob: str | None = None) -> DataFrame:
@@ -115,9 +125,9 @@ def read_text_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def stream_dumps(
-    spark: SparkSession, folder: str, glob: str = DUMP_GLOB, max_files: int | None = None
+    spark: SparkSession, folder: str, glob: str = DUMP_GLOB, max_files: int | None = None, marks: bool = False
 ) -> DataFrame:
-    """Lines of dumps as they turn up; the name tells closed dumps from open ones."""
+    """Lines of dumps as they turn up; the name tells closed dumps from open ones; marks: see `unpack_dumps`."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(FILES_SCHEMA)
@@ -126,7 +136,7 @@ def stream_dumps(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return unpack_dumps(reader.load(folder))
+    return unpack_dumps(reader.load(folder), marks)
 
 
 def write_dumps(

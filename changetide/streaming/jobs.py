@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changetide.operators.filters import TS, watch_user
-from changetide.operators.registry import load_fact, record_facts
+from changetide.operators.filters import TS, drop_canary, watch_user
+from changetide.operators.registry import load_fact, record_facts, timestamp_fact
 from changetide.operators.staging import add_content_key, parse_changes
 from changetide.operators.status import health_status
 from changetide.operators.rollups import refresh_rollups
@@ -31,8 +31,9 @@ def stream_load(
 ) -> StreamingQuery:
     """Load dumps as they turn up; takes all that are there and stops, to be started hourly.
 
-    The checkpoint remembers the files done; registry and rollups are kept as by `load_batch`. A batch that is run again after a crash finds its own
-    rows in the table and adds the missing ones only.
+    The checkpoint remembers the files done; registry and rollups are kept as by `load_batch`, dumps without
+    lines included. A batch that is run again after a crash has the same load id, as the id of the
+    query lives in its checkpoint; it finds its own rows in the table and adds the missing ones only.
     """
     require_utc(spark)
     ensure_table(spark, target)
@@ -40,18 +41,24 @@ def stream_load(
         ensure_registry(spark, registry)
 
     def load(lines: DataFrame, batch_id: int) -> None:
-        session = lines.sparkSession
+        session, begin = lines.sparkSession, now()
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         folder = scratch_dir(session, "staged")
-        staged = stage_lines(lines, folder)
-        counts = merge_staged(staged, target, f"stream:{checkpoint}:{batch_id}")
-        if registry:
-            record_facts(load_fact(counts, now()), registry)
-        if rollups:
-            refresh_rollups(session, target, rollups, staged_days(staged))
-        drop_scratch(session, folder)
+        try:
+            staged = stage_lines(lines, folder)
+            if registry:
+                names = staged.select("filename").distinct()
+                record_facts(timestamp_fact(names, "load_begin", begin), registry)
+            counts = merge_staged(staged, target, f"stream:{query_id}:{batch_id}")
+            if registry:
+                record_facts(load_fact(counts, now()), registry)
+            if rollups:
+                refresh_rollups(session, target, rollups, staged_days(staged))
+        finally:
+            drop_scratch(session, folder)
 
     return (
-        stream_dumps(spark, folder, glob, max_files)
+        stream_dumps(spark, folder, glob, max_files, marks=True)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -61,17 +68,22 @@ def stream_load(
 
 def keyed_events(lines: DataFrame) -> DataFrame:
     """Lines to events with key and time, without test events and events of unknown domain."""
-    keyed = add_content_key(parse_changes(lines))
-    return keyed.where(F.col("event_meta_domain") != CANARY_DOMAIN).select(*EVENT_COLUMNS)
+    return real_events(add_content_key(parse_changes(lines))).select(*EVENT_COLUMNS)
+
+
+def real_events(events: DataFrame) -> DataFrame:
+    """Events that the table would take: no test events, none of unknown domain."""
+    return events.where(F.col("event_meta_domain") != CANARY_DOMAIN)
 
 
 def stream_dedup(events: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame:
     """Drop repetitions that come within `delay`; the state is bounded by it.
 
-    For outputs of the stream alone; the table is kept free of repetitions by the merge. A stream
-    drops repetitions only after its shuffle, so the copies of a key are first spread over `salts`
-    keys; at most that many rows of it meet in the second step. The seed makes the spreading the
-    same when a task is run again. `salts=1` leaves the first step out.
+    Events later than `delay` are dropped too, repeated or not; `late_rows` tells how many, and the
+    table, kept free of repetitions by the merge, has them. A stream drops repetitions only after
+    its shuffle, so the copies of a key are first spread over `salts` keys; at most that many rows
+    of it meet in the second step. The seed makes the spreading the same when a task is run again.
+    `salts=1` leaves the first step out.
     """
     watched = events.withWatermark(TS, delay)
     if salts > 1:
@@ -80,19 +92,29 @@ def stream_dedup(events: DataFrame, delay: str = "1 hour", salts: int = 8) -> Da
     return watched.dropDuplicatesWithinWatermark(["_h"])
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows the query has dropped as later than its delay, in the progress it remembers."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def stream_hourly_counts(
     events: DataFrame, delay: str = "1 hour", edits_only: bool = False
 ) -> DataFrame:
-    """Hourly counts per wiki, each hour written once when the watermark has passed its end.
+    """Hourly counts per wiki as the table would have them, each hour written once when it is closed.
 
-    The open hour is thus never shown. Events later than `delay` are missing here; the refresh of
-    the stored rollups includes them.
+    Test events and repetitions are left out. An hour is closed when the newest event is `delay` past its
+    end; the open hours are never shown. Events later than `delay` are missing here (`late_rows`);
+    the refresh of the stored rollups includes them.
     """
+    clean = stream_dedup(real_events(events), delay)
     if edits_only:
-        events = events.where(F.col("event_type") == "edit")
+        clean = clean.where(F.col("event_type") == "edit")
     counts = (
-        events.withWatermark(TS, delay)
-        .groupBy(F.window(TS, "1 hour").alias("span"), "event_wiki")
+        clean.groupBy(F.window(TS, "1 hour").alias("span"), "event_wiki")
         .agg(
             F.count(F.lit(1)).alias("count_bot_flagignore"),
             F.count_if("event_bot").alias("count_bot_true"),
@@ -130,17 +152,18 @@ def query_health(
 
 
 def stream_watch_user(events: DataFrame, user: str) -> DataFrame:
-    """Events of one user, to be written to a sink of their own."""
-    return watch_user(events, user)
+    """Events of one user without test events, to be written to a sink of their own."""
+    return watch_user(drop_canary(events), user)
 
 
-def run_to_folder(stream: DataFrame, folder: str, checkpoint: str) -> None:
-    """Write what is available of a stream to Parquet files and wait for the end."""
-    (
+def run_to_folder(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Write what is available of a stream to Parquet files, wait for the end, and return the query."""
+    query = (
         stream.writeStream.format("parquet")
         .option("path", folder)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query.awaitTermination()
+    return query
