@@ -11,6 +11,7 @@ Texts lie in chunks of a few MiB that are written once; then
    string, to suffix buckets, each sorted alone by key, id and place; all but the first of equal
    strings are repeats. Long ties cannot arise: the key has the whole string.
 
+A chunk sends a string once, so what all documents share costs a row per chunk, not per document.
 Between chunks and buckets go packed arrays, and bits back; memory is bounded by a chunk or a bucket.
 Exact copies of a text never enter: all of their strings start earlier.
 """
@@ -104,9 +105,15 @@ class Chunk:
         change[live + 1] -= 1
         return np.flatnonzero((np.cumsum(change[:-1]) > 0) & self.fitting(match))
 
-    def strings(self, at: np.ndarray, match: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates and keys of their strings, by bucket."""
-        return by_bucket(at, Windows(self.data, 2)(at, match), bits)
+    def strings(self, at: np.ndarray, match: int, bits: int) -> tuple[np.ndarray, ...]:
+        """Candidates by bucket; keys of their strings, and 64 and eight bits after the bucket's; which are the
+        first with their key in this chunk."""
+        at, keys = by_bucket(at, Windows(self.data, 2)(at, match), bits)
+        more = Windows(self.data, 3)(at, match)
+        low = keys << np.uint64(bits) | more >> np.uint64(64 - bits)
+        first = np.zeros(len(at), bool)
+        first[np.unique(low, return_index=True)[1]] = True
+        return at, keys, low, more.astype(np.uint8), first
 
     def removed(self, repeats: np.ndarray, match: int) -> np.ndarray:
         """Bytes that the strings starting at distinct positions cover."""
@@ -243,7 +250,7 @@ def find_candidates(chunk: Chunk, answers: pa.Table, match: int, bits: int) -> n
 
 
 def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """For a chunk and its ranked sample: candidate strings by bucket, in order of their texts' ids.
+    """For a chunk and its ranked sample: its distinct candidate strings by bucket, in order of their texts' ids.
 
     Keys have 64 bits after the bucket's and eight more: 80 bits with the 256 buckets of 250 GB.
     """
@@ -254,10 +261,8 @@ def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Tab
             chunk = chunk_of(one)
             at = find_candidates(chunk, right, match, bits)
             if len(at):
-                at, keys = chunk.strings(at, match, bits)
-                more = Windows(chunk.data, 3)(at, match)
-                low = keys << np.uint64(bits) | more >> np.uint64(64 - bits)
-                checks = more.astype(np.uint8)
+                at, keys, low, checks, first = chunk.strings(at, match, bits)
+                at, keys, low, checks = at[first], keys[first], low[first], checks[first]
                 owners = chunk.ids[np.searchsorted(chunk.ends, at, side="right")]
                 for bucket, i, j in segments(keys, bits):
                     values = (one["chunk"], bucket, low[i:j].tobytes(), checks[i:j].tobytes(), owner_bytes(owners[i:j]))
@@ -317,8 +322,10 @@ def cut_chunk(match: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table
             repeats = np.zeros(0, np.int64)
             at = find_candidates(chunk, right, match, bits)
             if len(at):
-                at, keys = chunk.strings(at, match, bits)
-                repeats = at[joined_flags(flags_of(right, 2), keys, bits)]
+                at, keys, _, _, first = chunk.strings(at, match, bits)
+                again = ~first
+                again[first] = joined_flags(flags_of(right, 2), keys[first], bits)
+                repeats = at[again]
             removed = chunk.removed(repeats, match)
             kept = (chunk.data[i:j][~removed[i:j]].tobytes() for i, j in zip(chunk.starts, chunk.ends, strict=True))
             total = np.concatenate(([0], np.cumsum(removed)))
