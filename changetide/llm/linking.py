@@ -67,14 +67,16 @@ def linked_classes(keyed: DataFrame, near: Near) -> DataFrame:
         "side",
         F.lag("item").over(order).alias("before"),
         F.first("item").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("lowest"),
-        F.lead("item").over(order).isNotNull().alias("more"),
-    ).where(F.col("before").isNotNull() | F.col("more"))
+        F.count(F.lit(1)).over(Window.partitionBy("bucket")).alias("size"),
+    ).where(F.col("size") > 1)
     met, met_folder = stored(met, "met")
     held = F.filter(F.array_distinct(F.array("lowest", "before")), lambda other: near(F.col("item"), other))
     linked = met.where(F.col("before").isNotNull()).select(F.col("item").alias("a"), F.explode(held).alias("b"))
     links, links_folder = stored(linked.distinct(), "links")
     early, early_folder = stored(classes(links), "early")
-    placed = met.select("bucket", "item", "side").join(early, "item", "left").withColumn("root", F.coalesce("root", "item"))
+    # Of up to three items every pair has been checked by now.
+    open_ = met.where(F.col("size") > 3).select("bucket", "item", "side")
+    placed = open_.join(early, "item", "left").withColumn("root", F.coalesce("root", "item"))
     mixed = Window.partitionBy("bucket")
     placed, placed_folder = stored(
         placed.withColumns({"lo": F.min("root").over(mixed), "hi": F.max("root").over(mixed)})
