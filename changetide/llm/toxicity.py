@@ -34,8 +34,11 @@ LEXICONS = (
     frozenset("idiota imbécil estúpido tonto basura escoria asqueroso patético inútil payaso".split()),
 )
 MINED_VOTERS = 6
-VOTERS = len(LEXICONS) + 2 + MINED_VOTERS
+PATTERNS = [len(LEXICONS), len(LEXICONS) + 1]
+VOTERS = len(LEXICONS) + len(PATTERNS) + MINED_VOTERS
 STEMS = (4, 5, 6, 7, 8)
+#: Parts that texts are dealt to by their hash, for samples.
+_PARTS = 1 << 20
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b").findall
 _MASKED = re.compile(r"[A-Za-z][*@$#]+[A-Za-z]").search
@@ -93,7 +96,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_column: str, text_colum
         .agg((F.avg("y") >= 0.5).cast("int").alias("y"))
     )
     texts = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
-    return texts.join(known, "id").select("text", "y")
+    # Labels may be as many as the texts: merged at every size.
+    return texts.join(known.hint("merge"), "id").select("text", "y")
 
 
 def count_terms(rows: DataFrame, among: frozenset[str] | None) -> DataFrame:
@@ -117,7 +121,9 @@ def mine_terms(training: DataFrame, most: int, least_share: float = 0.001) -> li
     """Up to `most` terms by how much, and how often, they speak for label 1, best first.
 
     A term needs three toxic documents and a thousandth of them. So there are at most a
-    thousand times as many as a document has terms, however many documents there are.
+    thousand times as many as a document has terms, however many documents there are. Its frequency in
+    toxic documents has to be beyond chance, given how many terms were looked at (by the relative
+    entropy bound).
     """
     size = {r["y"]: r["count"] for r in training.groupBy("y").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
@@ -126,11 +132,16 @@ def mine_terms(training: DataFrame, most: int, least_share: float = 0.001) -> li
     support = max(3, least_share * n1)
     toxic = {r["term"]: r["n"] for r in count_terms(training.where("y = 1"), None).where(F.col("n") >= support).collect()}
     clean = {r["term"]: r["n"] for r in count_terms(training.where("y = 0"), frozenset(toxic)).collect()}
-    worth = {}
+    worth, share = {}, n1 / (n1 + n0)
+    # What chance alone would hardly do to any of the terms looked at.
+    least = np.log(len(toxic) + 1) + 2
     for term, n in toxic.items():
-        odds = np.log((n + 0.5) / (n1 + 1)) - np.log((clean.get(term, 0) + 0.5) / (n0 + 1))
-        if odds > 2 and n > 2 * clean.get(term, 0):
-            worth[term] = n * odds
+        part = n / (n + clean.get(term, 0))
+        if part > max(0.8, share):
+            against = (1 - part) * np.log((1 - part) / (1 - share)) if part < 1 else 0.0
+            surprise = n / part * (part * np.log(part / share) + against)
+            if surprise > least:
+                worth[term] = surprise
     # A stem that only one mined word has says nothing more than that word.
     same = {(stem, toxic[w]) for w in worth if not w.endswith("*") for stem in terms_of([w]) - {w}}
     worth = {t: x for t, x in worth.items() if (t, toxic[t]) not in same}
@@ -167,16 +178,23 @@ def votes_and_terms(rows: DataFrame, mined: list[str], terms: list[str]) -> Data
 
 @dataclass(frozen=True)
 class LabelModel:
+    """Voters abstain or vote for class 1. A list that abstains while others speak says nothing, as toxic
+    documents have few of the terms; that all lists abstain says something."""
+
     prior: float
     rates: np.ndarray  # (2, voters): how often a voter speaks up in each class
+    silence: np.ndarray  # (2,): how often all lists abstain
     discount: np.ndarray  # (voters,)
     correlations: np.ndarray  # (voters, voters), mean over the classes
 
     def posterior(self, votes: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
         """Probability of class 1 by the votes; a known label counts as one more vote, right in 99 of 100 cases."""
         fired = (votes[:, None] >> np.arange(VOTERS)) & 1
-        odds = np.log(self.rates[1] / self.rates[0]), np.log((1 - self.rates[1]) / (1 - self.rates[0]))
-        logit = np.log(self.prior / (1 - self.prior)) + (np.where(fired, *odds) * self.discount).sum(axis=1)
+        heard = np.log(self.rates[1] / self.rates[0]) * self.discount
+        unheard = np.log((1 - self.rates[1]) / (1 - self.rates[0])) * self.discount
+        said = fired @ heard + (1 - fired[:, PATTERNS]) @ unheard[PATTERNS]
+        silent = ~np.delete(fired, PATTERNS, axis=1).any(axis=1)
+        logit = np.log(self.prior / (1 - self.prior)) + said + silent * np.log(self.silence[1] / self.silence[0])
         if labels is not None:
             logit = logit + np.log(99) * (2 * labels - 1)
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -189,8 +207,9 @@ def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, ro
     """Estimates from counted vote patterns; `known` is the label, or -1 where there is none."""
     fired = ((votes[:, None] >> np.arange(VOTERS)) & 1).astype(float)
     is_known = known >= 0
-    speaks = fired.any(axis=1)
-    p = np.where(is_known, known, np.where(speaks, 0.7, 0.02)).astype(float)
+    # At first the lists are believed, the patterns not yet.
+    listed = np.delete(fired, PATTERNS, axis=1).any(axis=1)
+    p = np.where(is_known, known, np.where(listed, 0.7, 0.02)).astype(float)
     model = None
     for _ in range(rounds if len(votes) else 1):
         weight = np.stack([counts * (1 - p), counts * p])
@@ -206,7 +225,8 @@ def fit_label_model(votes: np.ndarray, known: np.ndarray, counts: np.ndarray, ro
         both = np.clip(both, -1, 1)
         np.fill_diagonal(both, 1)
         discount = 1 / np.maximum(both, 0).sum(axis=1)
-        model = LabelModel(prior, rates, discount, both)
+        silence = (weight @ ~listed + np.array([9.0, 1.0])) / (total + 10)
+        model = LabelModel(prior, rates, silence, discount, both)
         p = np.where(is_known, known, model.posterior(votes))
     return model
 
@@ -238,30 +258,46 @@ def train(
     """Learn from all texts and from the labels outside the held-out fifth.
 
     Terms, votes and the label model come from all rows; only the linear classifier is fitted on a
-    bounded sample of at most about `sample` labelled rows, by a hash of their text. Without labels of
-    both kinds the fixed word lists remain, with equal weights.
+    bounded sample, by a hash of the text, of at most about `sample` rows with a known label, or of all
+    rows if labels are of one kind or missing, with the label model's posteriors. If these call nothing
+    toxic the fixed word lists remain, with equal weights.
     """
-    training, folder = stored(training_rows(docs, labels, id_column, text_column), "labelled")
+    spark, folders = docs.sparkSession, []
+
+    def kept(rows: DataFrame, name: str) -> DataFrame:
+        table, folder = stored(rows, name)
+        folders.append(folder)
+        return table
+
+    training = kept(training_rows(docs, labels, id_column, text_column), "labelled")
     mined = mine_terms(training, terms)
     all_terms = list(dict.fromkeys([*mined, *sorted(set().union(*LEXICONS))]))
-    votes = lambda rows: votes_and_terms(rows, mined, all_terms)
-    everything = votes(docs.select(text_or_empty(text_column).alias("text")))
+    place = F.pmod(F.xxhash64("text"), F.lit(_PARTS)).alias("place")
+    texts = docs.select(text_or_empty(text_column).alias("text"))
+    everything = kept(votes_and_terms(texts.select("text", place), mined, all_terms), "votes")
+    labelled = kept(votes_and_terms(training.select("text", place, "y"), mined, all_terms), "labelled-votes")
     counted = {r["votes"]: r["count"] for r in everything.groupBy("votes").count().collect()}
-    labelled = {(r["votes"], r["y"]): r["count"] for r in votes(training).groupBy("votes", "y").count().collect()}
-    patterns = [(v, y, n) for (v, y), n in sorted(labelled.items())]
+    known = {(r["votes"], r["y"]): r["count"] for r in labelled.groupBy("votes", "y").count().collect()}
+    patterns = [(v, y, n) for (v, y), n in sorted(known.items())]
     for v, n in sorted(counted.items()):
-        patterns.append((v, -1, max(0, n - labelled.get((v, 0), 0) - labelled.get((v, 1), 0))))
+        patterns.append((v, -1, max(0, n - known.get((v, 0), 0) - known.get((v, 1), 0))))
     columns = np.array(patterns, int).reshape(-1, 3).T
     model = fit_label_model(columns[0], columns[1], columns[2].astype(float))
 
-    n = sum(labelled.values())
-    part = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / max(1, n)))
-    rows = votes(training.where(part)).select("y", "votes", "found").collect()
-    drop_scratch(docs.sparkSession, folder)
-    if len({r["y"] for r in rows}) < 2:
+    def part(rows: DataFrame, n: int) -> list:
+        return rows.where(F.col("place") < int(_PARTS * min(1.0, sample / max(1, n)))).collect()
+
+    with_label = part(labelled, sum(known.values()))
+    rows = with_label if len({r["y"] for r in with_label}) > 1 else [*with_label, *part(everything, sum(counted.values()))]
+    for folder in folders:
+        drop_scratch(spark, folder)
+    votes = np.array([r["votes"] for r in rows], int)
+    target = model.posterior(votes)
+    size = len(with_label)
+    target[:size] = model.posterior(votes[:size], np.array([r["y"] for r in with_label], int))
+    if not len(target) or target.max() < 0.5:
         weights, bias = np.full(len(all_terms), 3.0), -2.0
     else:
-        target = model.posterior(np.array([r["votes"] for r in rows]), np.array([r["y"] for r in rows]))
         weights, bias = fit_linear([r["found"] for r in rows], target, len(all_terms))
     used = {t: float(w) for t, w in zip(all_terms, weights, strict=True) if w}
     return Model(used, float(bias), tuple(model.accuracies().tolist()), tuple(map(tuple, model.correlations.tolist())))
