@@ -506,8 +506,9 @@ def test_label_model_tells_good_voters_from_bad():
     fired[:, 2] = np.where(truth, rng.random(4000) < 0.8, rng.random(4000) < 0.05)
     fired[:, 4] = rng.random(4000) < 0.3
     votes = (fired << np.arange(toxicity.VOTERS)).sum(axis=1)
-    patterns, counts = np.unique(votes, return_counts=True)
-    model = toxicity.fit_label_model(patterns, np.full(len(patterns), -1), counts.astype(float))
+    known = np.where(rng.random(4000) < 0.3, truth, -1)
+    patterns, counts = np.unique(np.stack([votes, known]), axis=1, return_counts=True)
+    model = toxicity.fit_label_model(patterns[0], patterns[1], counts.astype(float))
     accuracies = model.accuracies()
     assert accuracies[0] > 0.9 > accuracies[4] and model.correlations[0, 1] > 0.9
     assert model.discount[0] < 0.6 < model.discount[2]
