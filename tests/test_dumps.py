@@ -83,8 +83,9 @@ def test_line_reader_joins_lines_across_chunks():
     for content in (text, gzip.compress(text), gzip.compress(text[:7]) + gzip.compress(text[7:])):
         batch = pa.RecordBatch.from_pydict({"path": ["p"], "content": [content]})
         out = list(dumps._line_reader(chunk_bytes=4, lines_per_batch=2)([batch]))
-        assert [v for b in out for v in b.column("raw").to_pylist()] == text.split(b"\n")
-        assert [v["seq"] for b in out for v in b.column("line_pos").to_pylist()] == [0, 1, 2, 3]
+        mark, *lines = [v for b in out for v in b.column("raw").to_pylist()]
+        assert mark is None and lines == text.split(b"\n")
+        assert [v["seq"] for b in out for v in b.column("line_pos").to_pylist()] == [-1, 0, 1, 2, 3]
 
 
 def test_text_dumps_agree_with_packed_ones(spark, write_dump, tmp_path):

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from changetide import mapping
 from changetide.operators.registry import registry_state
+from changetide.operators.retention import new_dumps
 from changetide.operators.rollups import hourly_counts
+from changetide.operators.staging import dedup_changes
 from changetide.plans.queries import event_stream
 from changetide.sources import dumps
 from changetide.sources.tables import read_changes, read_registry, read_rollup
@@ -48,7 +50,7 @@ def run_to_rows(spark, stream, tmp_path):
 
 
 def test_stream_counts_equal_the_rollup_of_closed_hours(spark, tmp_path):
-    events = mapping.keyed(spark, FOLDER)
+    events = dedup_changes(mapping.keyed(spark, FOLDER))
     got = run_to_rows(spark, jobs.stream_hourly_counts(event_stream(spark, FOLDER), "0 seconds"), tmp_path)
     assert rows_of(got) == rows_of(hourly_counts(events))
 
@@ -78,3 +80,31 @@ def test_health_of_a_running_query(spark, tmp_path):
     newest = mapping.keyed(spark, FOLDER).agg(F.max("ts_event_meta_dt").cast("timestamp_ntz")).first()[0]
     assert jobs.query_health(query, newest + dt.timedelta(seconds=900)) == "OK"
     assert jobs.query_health(query, newest + dt.timedelta(seconds=902)) == "ERROR"
+
+
+def test_stream_load_bookkeeping(spark, write_dump, tmp_path):
+    """A dump without lines is recorded, and a fresh checkpoint at the old path merges nothing."""
+    folder, target, registry = (str(tmp_path / n) for n in ("dumps", "table", "registry"))
+    write_dump(A, [change(1), change(2)])
+    write_dump(B, [])
+    for state in ("one", "two"):
+        jobs.stream_load(spark, folder, target, str(tmp_path / state), registry).awaitTermination()
+        counts = registry_state(read_registry(spark, registry))
+        merged = 2 if state == "one" else 0
+        assert rows_of(counts, "filename", "loadstat_events_in_file", "loadstat_events_merged") == [(A, 2, merged), (B, 0, 0)]
+        assert counts.where("ts_load_begin IS NULL OR ts_load_begin > ts_load_end").count() == 0
+    files = dumps.list_dumps(spark, folder).select("filename")
+    assert new_dumps(files, read_registry(spark, registry)).count() == 0
+
+
+def test_late_rows_are_reported(spark, tmp_path):
+    folder, out = tmp_path / "events", str(tmp_path / "out")
+    times = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-01 00:30:00"]
+    table = spark.createDataFrame([(str(i), t) for i, t in enumerate(times)], "_h string, ts string")
+    table = table.withColumn("ts_event_meta_dt", F.col("ts").cast("timestamp"))
+    for i in range(3):
+        table.where(F.col("_h") == str(i)).coalesce(1).write.mode("append").parquet(str(folder))
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    query = jobs.run_to_folder(jobs.stream_dedup(stream, salts=1), out, str(tmp_path / "state"))
+    kept = spark.read.parquet(out).count()
+    assert kept + jobs.late_rows(query) == 3

@@ -154,3 +154,23 @@ def test_ties_are_broken_by_name_and_a_missing_name_is_last(spark):
     df = events(spark, [("2025-01-01 10:00:00", w, "edit", True) for w in ("b", None, "a", "c", "c")])
     assert [r["event_wiki"] for r in trends.top_wikis(df).collect()] == ["c", "a", "b", None]
     assert [r["event_wiki"] for r in trends.top_wikis(df, 2).collect()] == ["c", "a"]
+
+
+def test_an_odd_year_does_no_harm(spark):
+    """A page with events thousands of years apart: the axis is laid out in blocks."""
+    span = spark.createDataFrame([(0, "w", "t", "0001-01-01 00:30:00", "2024-01-01 00:00:00")], "series_no int, event_wiki string, event_title string, lo string, hi string")
+    span = span.withColumns({c: F.col(c).cast("timestamp") for c in ("lo", "hi")})
+    hours = trends._hours(span)
+    assert hours.count() == (dt.datetime(2024, 1, 1) - dt.datetime(1, 1, 1)).days * 24
+    assert hours.agg(F.count_distinct("t")).first()[0] == hours.count()
+
+
+def test_history_reads_only_its_days(spark, tmp_path):
+    from changetide.sources.tables import append_changes, read_table
+
+    target = str(tmp_path / "table")
+    append_changes(mapping.event_table(spark, FOLDER), target)
+    history = trends.page_history(read_table(spark, target), [("enwiki", "Page 1")], dt.date(2024, 1, 8), dt.date(2024, 1, 9))
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert "event_date" in plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert history.count() == 25
