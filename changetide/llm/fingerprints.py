@@ -117,9 +117,11 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
         F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)).alias("k"), text_or_empty(text_column).alias("text")
     )
     order, _ = stored(following(named.groupBy("k").agg(F.max(F.length("text")).alias("n"))), "order")
-    rows = named.withColumn("row", F.row_number().over(Window.partitionBy("k").orderBy("text")))
+    # Both uses below read one exchange of the texts; a filter on the row number would change it.
+    same_id = Window.partitionBy("k").orderBy("text")
+    rows = named.withColumns({"row": F.row_number().over(same_id), "opens": F.lag("k").over(same_id).isNull()})
     wanted = order.select(F.col("next_k").alias("k"), F.col("k").alias("before"), F.floor(F.col("n") / 2).cast("int").alias("most"))
-    heads = rows.where("row = 1").join(wanted, "k").select(F.col("before").alias("k"), F.expr("left(text, most)").alias("head"))
+    heads = rows.where("opens").join(wanted, "k").select(F.col("before").alias("k"), F.expr("left(text, most)").alias("head"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 2) AS int))"), F.substring("head", F.lit(1), half))
