@@ -7,9 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from changetide.plans import oracle
+from changetide.plans.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+# The operators on training text are tested in tests/llm.
+QUERIES, SQL = registered(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +25,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
