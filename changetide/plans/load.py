@@ -20,7 +20,7 @@ from changetide.operators.staging import (
 )
 from changetide.schema import CANARY_DOMAIN, DUMP_GLOB, EVENT_COLUMNS
 from changetide.session import drop_scratch, require_utc, scratch_dir
-from changetide.sources.dumps import list_dumps, read_dumps
+from changetide.sources.dumps import list_dumps, read_lines
 from changetide.sources.tables import ensure_registry, ensure_table, read_table, with_partitions
 
 
@@ -132,7 +132,7 @@ def load_batch(
         record_facts(timestamp_fact(names, "load_begin", now()), registry)
     folder = scratch_dir(spark, "staged")
     try:
-        staged = stage_lines(read_dumps(spark, files, glob), folder)
+        staged = stage_lines(read_lines(spark, files, glob), folder)
         counts = names.join(merge_staged(staged, target, load_id), "filename", "left").fillna(0)
         # Stored, as they are counted in the staging table.
         stats_folder = scratch_dir(spark, "load-stats")

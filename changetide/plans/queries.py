@@ -126,7 +126,7 @@ def registry_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_read_dumps(spark, d):
-    lines = dumps.read_dumps(spark, dump_folder(spark, d), glob="*.gz")
+    lines = dumps.read_lines(spark, dump_folder(spark, d), glob="*.gz")
     return lines.groupBy(load.file_name().alias("filename")).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -222,11 +222,11 @@ def q_read_epochs(spark, d):
 
 
 def q_dump_quality(spark, d):
-    return load.dump_quality(dumps.read_dumps(spark, dump_folder(spark, d), glob="*.gz"))
+    return load.dump_quality(dumps.read_lines(spark, dump_folder(spark, d), glob="*.gz"))
 
 
 def q_first_event_time(spark, d):
-    return load.first_event_time(dumps.read_dumps(spark, dump_folder(spark, d), glob="*.gz"))
+    return load.first_event_time(dumps.read_lines(spark, dump_folder(spark, d), glob="*.gz"))
 
 
 # Filters and projections

@@ -107,13 +107,23 @@ def read_dumps(spark: SparkSession, paths: str | list[str], glob: str | None = D
     return unpack_dumps(reader.load(paths))
 
 
-def read_text_dumps(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = DUMP_GLOB) -> DataFrame:
+    """Every line of the dumps, by Spark's own reader where the names tell it the codec."""
+    if glob and glob.endswith(".gz"):
+        return read_text_dumps(spark, paths, glob)
+    return read_dumps(spark, paths, glob)
+
+
+def read_text_dumps(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """As `read_dumps` for plain text (split among tasks) and for names ending in `.gz`.
 
     Block start and row number order the lines of a file also when several tasks read it.
     """
     # Only LF ends a line, as in the packed dumps; a lone CR is white space inside JSON.
-    lines = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.text(paths)
     return lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.struct(
