@@ -53,6 +53,7 @@ SLICE_EVENTS = 5
 USER = "u7"
 
 _dump_folders: dict[tuple[str, str], str] = {}
+_stored_tables: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def plain_times(result: DataFrame) -> DataFrame:
@@ -90,6 +91,26 @@ def dump_folder(spark: SparkSession, folder: str) -> str:
     return _dump_folders[key]
 
 
+def stored_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table of a data folder, written once per session, partitioned by day and wiki group."""
+    return tables.read_changes(spark, _stored(spark, folder)[0])
+
+
+def stored_rollup(spark: SparkSession, folder: str, edits_only: bool = False) -> DataFrame:
+    """One of the rollups of that table, written with it."""
+    return tables.read_rollup(spark, _stored(spark, folder)[1], edits_only)
+
+
+def _stored(spark: SparkSession, folder: str) -> tuple[str, str]:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _stored_tables:
+        target, out = scratch_dir(spark, "table"), scratch_dir(spark, "rollups")
+        tables.append_changes(mapping.event_table(spark, folder), target)
+        rollups.refresh_rollups(spark, target, out)
+        _stored_tables[key] = (target, out)
+    return _stored_tables[key]
+
+
 def file_names(spark: SparkSession, folder: str) -> DataFrame:
     """A file name per event: most are those of dumps, others break one rule each."""
     number = F.col("event_id")
@@ -241,11 +262,11 @@ def q_edits_only(spark, d):
 
 
 def q_wiki_filter(spark, d):
-    return _shown(filters.wiki_filter(mapping.event_table(spark, d), "enwiki"))
+    return _shown(filters.wiki_filter(stored_table(spark, d), "enwiki"))
 
 
 def q_page_filter(spark, d):
-    return _shown(filters.page_filter(mapping.event_table(spark, d), *PAGE))
+    return _shown(filters.page_filter(stored_table(spark, d), *PAGE))
 
 
 def q_exclude_title_prefixes(spark, d):
@@ -253,20 +274,20 @@ def q_exclude_title_prefixes(spark, d):
 
 
 def q_since_filter(spark, d):
-    return _shown(filters.since_filter(mapping.event_table(spark, d), SINCE))
+    return _shown(filters.since_filter(stored_table(spark, d), SINCE))
 
 
 def q_since_filter_strict(spark, d):
-    return _shown(filters.since_filter(mapping.event_table(spark, d), SINCE, strict=True))
+    return _shown(filters.since_filter(stored_table(spark, d), SINCE, strict=True))
 
 
 def q_date_range_filter(spark, d):
-    return filters.date_range_filter(q_hourly_counts_edits(spark, d), TREND_START, TREND_END)
+    return filters.date_range_filter(stored_rollup(spark, d, edits_only=True), TREND_START, TREND_END)
 
 
 def q_clamp_date_range(spark, d):
     start, end = filters.clamp_date_range(TREND_END, TREND_END)
-    return filters.date_range_filter(q_hourly_counts_edits(spark, d), start, end)
+    return filters.date_range_filter(stored_rollup(spark, d, edits_only=True), start, end)
 
 
 def q_exclude_bots(spark, d):
@@ -316,7 +337,7 @@ def q_hours_before(spark, d):
 
 
 def _with_bots(spark, d):
-    return breakdown.wiki_breakdown(q_hourly_counts_all(spark, d), start=BREAKDOWN_START)
+    return breakdown.wiki_breakdown(stored_rollup(spark, d), start=BREAKDOWN_START)
 
 
 def q_label_other(spark, d):
@@ -386,7 +407,7 @@ def q_event_types(spark, d):
 
 
 def q_wiki_list_rollup(spark, d):
-    return trends.wiki_list_rollup(q_hourly_counts_edits(spark, d))
+    return trends.wiki_list_rollup(stored_rollup(spark, d, edits_only=True))
 
 
 def q_wiki_list_raw(spark, d):
@@ -394,12 +415,12 @@ def q_wiki_list_raw(spark, d):
 
 
 def q_timetrend_rollup(spark, d):
-    rollup = q_hourly_counts_edits(spark, d)
+    rollup = stored_rollup(spark, d, edits_only=True)
     return trends.timetrend_rollup(rollup, WIKIS, start=TREND_START, end=TREND_END)
 
 
 def q_timetrend_rollup_nobots(spark, d):
-    rollup = q_hourly_counts_edits(spark, d)
+    rollup = stored_rollup(spark, d, edits_only=True)
     return trends.timetrend_rollup(rollup, WIKIS, with_bots=False, start=TREND_START, end=TREND_END)
 
 
@@ -420,11 +441,11 @@ def q_daily_rates(spark, d):
 
 
 def q_top_pages(spark, d):
-    return trends.top_pages(mapping.event_table(spark, d), "enwiki", SINCE)
+    return trends.top_pages(stored_table(spark, d), "enwiki", SINCE)
 
 
 def q_breakdown_sums(spark, d):
-    return breakdown.breakdown_sums(q_hourly_counts_all(spark, d), BREAKDOWN_START)
+    return breakdown.breakdown_sums(stored_rollup(spark, d), BREAKDOWN_START)
 
 
 def q_breakdown_totals(spark, d):
@@ -471,11 +492,11 @@ def q_health_status(spark, d):
 
 
 def q_page_history_filled(spark, d):
-    return trends.page_history_filled(mapping.event_table(spark, d), *PAGE)
+    return trends.page_history_filled(stored_table(spark, d), *PAGE)
 
 
 def q_page_history_many(spark, d):
-    return trends.page_history(mapping.event_table(spark, d), PAGES)
+    return trends.page_history(stored_table(spark, d), PAGES)
 
 
 def q_wiki_history_many(spark, d):
@@ -483,7 +504,7 @@ def q_wiki_history_many(spark, d):
 
 
 def q_top_pages_history(spark, d):
-    changes = mapping.event_table(spark, d)
+    changes = stored_table(spark, d)
     return trends.top_pages_history(changes, "enwiki", SINCE, HISTORY_FROM, HISTORY_TO)
 
 
