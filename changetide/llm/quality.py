@@ -24,8 +24,8 @@ class Rules:
     """Limits; the same at every size of the corpus.
 
     A line is common if more than `line_documents` distinct texts of its host, and more than
-    `line_share` of them, have it. A document is depleted if less than `left_share` of the words
-    of its distinct lines remain without the common ones.
+    `line_share` of them, have it. A document is depleted if less than `left_share` of its words
+    remain without its common lines; a line counts as often as the text has it.
     """
 
     least_words: int = 50
@@ -109,9 +109,10 @@ def normalised(line: Column) -> Column:
 
 
 def text_lines(docs: DataFrame, host_column: str, text_column: str) -> DataFrame:
-    """Distinct lines with a word, by text: host, text_key, line (hash), n_words.
+    """Distinct lines with a word, by text: host, text_key, line (hash), n_words (of all its occurrences).
 
-    Copies of a text in a host are one. A null host is a host of its own, named ''.
+    Copies of a text in a host are one row a line; they multiply the words of all its lines alike, so
+    shares of them stay. A null host is a host of its own, named ''.
     """
     text = docs.select(
         F.coalesce(F.col(host_column).cast("string"), F.lit("")).alias("host"), text_or_empty(text_column).alias("text")
@@ -120,7 +121,7 @@ def text_lines(docs: DataFrame, host_column: str, text_column: str) -> DataFrame
     words = F.size(split_words(F.col("line")))
     lines = lines.select("host", "text_key", F.xxhash64(normalised(F.col("line"))).alias("line"), words.alias("words"))
     counted = lines.where(F.col("words") > 0).groupBy("host", "text_key", "line")
-    return counted.agg(F.max("words").cast("long").alias("n_words"))
+    return counted.agg(F.sum("words").alias("n_words"))
 
 
 def text_key(text: Column) -> Column:
@@ -137,7 +138,7 @@ def common_lines(lines: DataFrame, rules: Rules) -> DataFrame:
 def depleted_texts(docs: DataFrame, rules: Rules, host_column: str = "source", text_column: str = "text") -> DataFrame:
     """Texts of which too little remains without common lines: host, text_key. Each text once a host.
 
-    A line that a text repeats counts once, on either side.
+    A line that a text repeats counts each time, on either side.
     """
     lines, _ = stored(text_lines(docs, host_column, text_column), "lines")
     common, _ = stored(common_lines(lines, rules), "common")
@@ -146,7 +147,8 @@ def depleted_texts(docs: DataFrame, rules: Rules, host_column: str = "source", t
         .groupBy("host", "text_key")
         .agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("common"), F.lit(0)).otherwise(F.col("n_words"))).alias("left"))
     )
-    return left.where(F.col("left") < rules.left_share * F.col("all")).select("host", "text_key")
+    # A quotient is the same for any number of copies.
+    return left.where(F.col("left") / F.col("all") < rules.left_share).select("host", "text_key")
 
 
 def remove_common_lines(docs: DataFrame, rules: Rules = Rules(), host_column: str = "source", id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -224,6 +224,20 @@ def test_quality_rules(spark, docs, plain):
     assert quality.quality_rules(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_depletion_counts_lines_as_often_as_they_occur(spark):
+    menu = [prose(7000 + i, n) for i, n in enumerate((12, 12, 15, 15, 15, 15, 15))]
+    rows = [(i, "\n".join([*menu, prose(7100 + i, 300)]), "h") for i in range(30)]
+    own, again = prose(7200, 25), prose(7201, 10)
+    # Of 100 words: 25 left, as one common line is there four times; 40 left, as an own line is there four times.
+    less = "\n".join([menu[0], menu[1], menu[0], menu[2], menu[0], own, menu[0]])
+    more = "\n".join([again, menu[3], again, menu[4], again, menu[5], again, menu[6]])
+    rows += [(100, less, "h"), (101, more, "h")] + [(200 + i, t, "h") for i, t in enumerate([less, more, more])]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in quality.quality_rules(table).collect()}
+    assert all(got[i].n_words == 100 and not got[i].base_failed for i in (100, 101))
+    assert {i for i, r in got.items() if not r.kept} == {100, 200}
+
+
 def test_removing_common_lines(spark):
     rows = [(i, f"Same line 7\nown {i} words\n\nSAME  line 8", "h") for i in range(30)]
     cleaned = quality.remove_common_lines(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
