@@ -140,8 +140,17 @@ def depleted_texts(docs: DataFrame, rules: Rules, host_column: str = "source", t
 
     A line that a text repeats counts each time, on either side.
     """
+    return depleted_by(*line_tables(docs, rules, host_column, text_column), rules)
+
+
+def line_tables(docs: DataFrame, rules: Rules, host_column: str, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """`text_lines` and, of them, `common_lines`, both stored."""
     lines, _ = stored(text_lines(docs, host_column, text_column), "lines")
     common, _ = stored(common_lines(lines, rules), "common")
+    return lines, common
+
+
+def depleted_by(lines: DataFrame, common: DataFrame, rules: Rules) -> DataFrame:
     left = (
         lines.join(common.withColumn("common", F.lit(True)), ["host", "line"], "left")
         .groupBy("host", "text_key")
@@ -173,9 +182,13 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host_column: str = "source",
     have no words and fail; a null host is a host of its own; copies and repeated rows are judged
     alike. Columns of `docs` may have any names but those beginning with an underscore used here.
     """
+    return judged_by(docs, *line_tables(docs, rules, host_column, text_column), rules, host_column, text_column)
+
+
+def judged_by(docs: DataFrame, lines: DataFrame, common: DataFrame, rules: Rules, host_column: str, text_column: str) -> DataFrame:
     signs = with_signs(docs, rules, text_column)
     host = F.coalesce(F.col(host_column).cast("string"), F.lit(""))
-    depleted = depleted_texts(docs, rules, host_column, text_column).select(
+    depleted = depleted_by(lines, common, rules).select(
         F.col("host").alias("_host"), F.col("text_key").alias("_text_key"), F.lit(True).alias("_depleted")
     )
     depleted, _ = stored(depleted, "depleted")  # so that a text with very many copies is a skewed join that Spark splits
@@ -196,3 +209,25 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules(), id_column: str = "doc
 def keep_good(docs: DataFrame, rules: Rules = Rules(), **columns: str) -> DataFrame:
     """The rows of `docs` that the rules keep, unchanged."""
     return judge(docs, rules, **columns).where("_kept").select(*docs.columns)
+
+
+def clean_good(docs: DataFrame, rules: Rules = Rules(), host_column: str = "source", text_column: str = "text", size_column: str = "n_chars") -> DataFrame:
+    """The rows of `docs` that the rules keep, their texts without the lines above the limits.
+
+    Rows are judged by their whole texts. A column with the length of the text is kept right.
+    """
+    lines, common = line_tables(docs, rules, host_column, text_column)
+    cut = lines.join(common, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_list("line").alias("_lines"))
+    cut, _ = stored(cut.select(F.col("host").alias("_host"), F.col("text_key").alias("_text_key"), "_lines"), "cut")
+    kept = judged_by(docs, lines, common, rules, host_column, text_column).where("_kept")
+    host = F.coalesce(F.col(host_column).cast("string"), F.lit(""))
+    joined = kept.join(cut, (host == F.col("_host")) & (F.col("_signs.text_key") == F.col("_text_key")), "left")
+    left = F.filter(
+        F.split(text_or_empty(text_column), "\n", -1), lambda x: ~F.array_contains(F.col("_lines"), F.xxhash64(normalised(x)))
+    )
+    text = F.when(F.col("_lines").isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
+    cleaned = joined.withColumn(text_column, text)
+    if size_column in docs.columns:
+        size = F.when(F.col("_lines").isNull(), F.col(size_column)).otherwise(F.length(text_column))
+        cleaned = cleaned.withColumn(size_column, size.cast(docs.schema[size_column].dataType))
+    return cleaned.select(*docs.columns)

@@ -16,8 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; their texts stay whole, common lines included."""
-    return quality.keep_good(docs)
+    """Documents that the quality rules keep, without their hosts' common lines; `n_chars` follows the text."""
+    return quality.clean_good(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from changetide.llm import chat, fingerprints, packing, pieces, quality, queries, repeats, simhash, tokens, toxicity, warc
 
 DOCS = "doc_id bigint, text string, source string, id string, item bigint, k bigint, _x string, n_chars bigint"
@@ -244,6 +245,21 @@ def test_removing_common_lines(spark):
     assert {r.text for r in cleaned.collect()} == {f"own {i} words\n" for i in range(30)}
 
 
+def test_kept_documents_lose_their_common_lines(spark, docs):
+    menu = "Menu 7 " + prose(8000, 10)
+    texts = [f"{prose(8100 + i, 60)}\n\n{menu}\nown {'x' * i} line\n{menu.upper()}  " for i in range(30)]
+    rows = [(i, t, "h", len(t)) for i, t in enumerate([*texts, texts[0]])] + [(50, texts[0], "other", len(texts[0])), (51, "few", "h", 3)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    got = quality.clean_good(table)
+    assert got.columns == table.columns
+    want = {i: t if s == "other" else "\n".join(x for x in t.split("\n") if "MENU" not in x.upper()) for i, t, s, _ in rows if i != 51}
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    assert all(r.n_chars == len(r.text) for r in got.collect())
+    assert bag(quality.clean_good(docs).collect()) == bag(quality.keep_good(docs).collect())  # no line is common
+    staged = corpus_pipeline.drop_junk(spark, table, "")
+    assert {r.doc_id: r.text for r in staged.collect()} == want
+
+
 def segmenter(best):
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
         return pieces.Segmenter(file.read(), best)
