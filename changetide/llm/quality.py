@@ -23,8 +23,9 @@ _SPACES = r"[\x20\x09-\x0D]+"
 class Rules:
     """Limits; the same at every size of the corpus.
 
-    A line is common if more than `line_documents` distinct texts of its host, and more than
-    `line_share` of them, have it. A document is depleted if less than `left_share` of its words
+    A line is common if more than `line_documents` distinct texts of its host have it, and these are
+    more than `line_share` of them or more than `line_many`. The latter is for hosts so large that
+    what very many pages share is a small part of them. A document is depleted if less than `left_share` of its words
     remain without its common lines; a line counts as often as the text has it.
     """
 
@@ -33,6 +34,7 @@ class Rules:
     line_documents: int = 20
     line_share: float = 0.05
     left_share: float = 0.3
+    line_many: int = 10_000
 
 
 def split_words(text: Column) -> Column:
@@ -132,7 +134,8 @@ def common_lines(lines: DataFrame, rules: Rules) -> DataFrame:
     """Lines above the limits: host, line. `lines` has each line of a text once."""
     counts = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rules.line_documents)
     hosts = lines.select("host", "text_key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    return counts.join(hosts, "host").where(F.col("n") > rules.line_share * F.col("texts")).select("host", "line")
+    above = (F.col("n") > rules.line_share * F.col("texts")) | (F.col("n") > rules.line_many)
+    return counts.join(hosts, "host").where(above).select("host", "line")
 
 
 def depleted_texts(docs: DataFrame, rules: Rules, host_column: str = "source", text_column: str = "text") -> DataFrame:

@@ -239,6 +239,21 @@ def test_depletion_counts_lines_as_often_as_they_occur(spark):
     assert {i for i, r in got.items() if not r.kept} == {100, 200}
 
 
+def test_boilerplate_of_a_hot_host(spark):
+    menu = "\n".join(prose(8500 + i, 40) for i in range(3))
+    planted = [(i, f"{menu}\n{prose(8600 + i, 20)}", "hot") for i in range(60)]
+    others = [(1000 + i, prose(9000 + i, 60), "hot") for i in range(1500)]  # 60 texts are under 5 % of the host
+    table = spark.createDataFrame(planted + others, "doc_id bigint, text string, source string")
+    gone = lambda rules: {r.doc_id for r in quality.quality_rules(table, rules).where("NOT kept AND NOT base_failed").collect()}
+    assert gone(quality.Rules(line_many=50)) == set(range(60))
+    assert gone(quality.Rules(line_many=60)) == gone(quality.Rules()) == set()
+
+
+def test_default_limit_of_very_large_hosts(spark):
+    lines = spark.range(250_000).selectExpr("'hot' host", "id text_key", "explode(array(id + 10, if(id < 10001, 1, 2), if(id < 10000, 3, 2))) line").distinct()
+    assert {r.line for r in quality.common_lines(lines, quality.Rules()).collect()} == {1, 2}
+
+
 def test_removing_common_lines(spark):
     rows = [(i, f"Same line 7\nown {i} words\n\nSAME  line 8", "h") for i in range(30)]
     cleaned = quality.remove_common_lines(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
