@@ -1,15 +1,19 @@
-"""Removing repeated byte strings with a difference-cover sample, one suffix bucket at a time.
+"""Removing repeated byte strings with a difference-cover sample, one bucket of hashed strings at a time.
 
 A string of `match` bytes is a repeat if it also starts earlier (smaller id, or earlier in the text).
 Texts lie in chunks of a few MiB that are written once; then
 
 1. Cover sample. D is a difference cover modulo v: for any two positions some shift below v brings both
    onto D. So two equal strings of `match` bytes have, at one shift, equal windows of
-   match - v + 1 bytes at sampled positions; only |D| of v positions are sampled. The sample is
-   ranked: each bucket of the windows' key space is sorted alone, and windows found twice stay.
-2. Suffixes. Only positions with such a window ahead can start a repeat. They go, by a key of the whole
-   string, to suffix buckets, each sorted alone by key, id and place; all but the first of equal
-   strings are repeats. Long ties cannot arise: the key has the whole string.
+   match - v + 1 bytes at sampled positions; only |D| of v positions are sampled. Hashes of the
+   windows are sorted, each bucket of their space alone, and windows found twice stay: a filter.
+2. Strings. Only positions with such a window ahead can start a repeat. They go, by a hash of the whole
+   string, to buckets, each sorted alone by hash, id and place; all but the first of equal strings
+   are repeats.
+
+No suffixes are sorted by their bytes, and the sample has no ranks: strings have one fixed length, so
+whether two are equal is all that is asked, and a hash of 80 bits or more says it. Suffix order would
+answer for every length.
 
 A chunk sends a string once, so what all documents share costs a row per chunk, not per document.
 Between chunks and buckets go packed arrays, and bits back; memory is bounded by a chunk or a bucket.
