@@ -122,10 +122,21 @@ def inflate(file: pa.NativeFile, size: int, at: int, window: bytes, base: int) -
                 return None
             piece = file.read_at(min(AHEAD, size - position), position)
             position += len(piece)
-    except zlib.error:
+    except zlib.error as error:
+        # The call that fails gives nothing back, so the start is decoded again, alone.
+        if (begun if len(begun) >= 7 else start_of(window[at - base :]))[:7] == VERSION[:7]:
+            raise ValueError(f"the record at byte {at} is damaged") from error
         return None
 
 
+def start_of(member: bytes) -> bytes:
+    """The first bytes of a member's content; nothing if they do not decode."""
+    try:
+        return zlib.decompressobj(GZIP).decompress(member, len(VERSION))
+    except zlib.error:
+        return b""
+
+
 def records(path: str, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     """Offset and content of the records that start in a range of a file."""
     with open_file(path) as file:
@@ -172,8 +183,8 @@ _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 def read_warc(spark: SparkSession, folder: str, range_bytes: int = RANGE, with_payload: bool = True) -> DataFrame:
     """Records of all archives in a folder, in any order: path, at (offset), and their fields.
 
-    A revisit has no payload, but its length and digest. A record that ends too early, or does not fit its
-    digest, is an error. Empty files have no records.
+    A revisit has no payload, but its length and digest. A record that ends too early, does not inflate
+    to its end, or does not fit its digest, is an error. Empty files have no records.
     """
     files = spark.read.format("binaryFile").load(folder).select("path", "length").where("length > 0")
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))

@@ -451,6 +451,25 @@ def test_archives_report_damage(spark, tmp_path):
     assert [at for at, _ in warc.records(str(tmp_path / "noise"), 0, 10_000)] == [203]
 
 
+@pytest.mark.parametrize("place", ["middle", "checksum", "far"])
+def test_records_that_do_not_inflate_are_errors(tmp_path, place):
+    noise = np.random.default_rng(5).integers(33, 127, 3 * warc.AHEAD if place == "far" else 3000).astype(np.uint8).tobytes()
+    data = bytearray(warc.gzip_member(warc.record(1, "u", noise, "response", None, "2024-01-01T00:00:00Z")))
+    whole = bytes(data)
+    end = len(whole) - len(unused_after(whole))
+    at = {"middle": len(data) // 2, "checksum": end - 8, "far": end - 8}[place]
+    data[at] ^= 255
+    (tmp_path / "damaged").write_bytes(bytes(data) + whole)
+    with pytest.raises(ValueError, match="is damaged"):
+        list(warc.records(str(tmp_path / "damaged"), 0, len(data) + len(whole)))
+
+
+def unused_after(data):
+    inflater = zlib.decompressobj(warc.GZIP)
+    inflater.decompress(data)
+    return inflater.unused_data
+
+
 def brute_repeats(rows, match):
     """By row number: bytes kept, how many went, runs."""
     seen, out = set(), {}
