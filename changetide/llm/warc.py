@@ -29,6 +29,8 @@ MAGIC, VERSION, GZIP = b"\x1f\x8b\x08", b"WARC/1.1", 31
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes of a range, and bytes read at once beyond its end.
 RANGE, AHEAD = 16 << 20, 256 << 10
+#: Bytes inflated at once: first, and then.
+FIRST, PIECE = 4 << 10, 64 << 10
 _RECORD = "urn:page:"
 
 
@@ -103,12 +105,23 @@ def open_file(path: str) -> pa.NativeFile:
     return store.open_input_file(name)
 
 
-def inflate(file: pa.NativeFile, size: int, at: int, window: bytes, base: int) -> tuple[bytes, int] | None:
+def pieces(file: pa.NativeFile, size: int, at: int, window: memoryview, base: int) -> Iterator[tuple[int, bytes]]:
+    """The bytes from an offset on, in pieces with the offset behind each: out of the window, then out of the file.
+
+    A piece is small, so that a record costs what it is long, not what lies behind it.
+    """
+    length = FIRST
+    while at < size:
+        piece = window[at - base : at - base + length] or file.read_at(min(AHEAD, size - at), at)
+        at, length = at + len(piece), PIECE
+        yield at, piece
+
+
+def inflate(file: pa.NativeFile, size: int, at: int, window: memoryview, base: int) -> tuple[bytes, int] | None:
     """Content of the record member at an offset, and the offset behind it; None if there is no record."""
     inflater, parts, begun = zlib.decompressobj(GZIP), [], b""
-    piece, position = window[at - base :], base + len(window)
     try:
-        while True:
+        for position, piece in pieces(file, size, at, window, base):
             parts.append(inflater.decompress(piece))
             if len(begun) < len(VERSION):
                 begun += parts[-1][: len(VERSION)]
@@ -116,20 +129,17 @@ def inflate(file: pa.NativeFile, size: int, at: int, window: bytes, base: int) -
                     return None
             if inflater.eof:
                 return (b"".join(parts), position - len(inflater.unused_data)) if len(begun) >= 7 else None
-            if position >= size:
-                if len(begun) >= 7:
-                    raise ValueError(f"the record at byte {at} is not complete")
-                return None
-            piece = file.read_at(min(AHEAD, size - position), position)
-            position += len(piece)
     except zlib.error as error:
         # The call that fails gives nothing back, so the start is decoded again, alone.
-        if (begun if len(begun) >= 7 else start_of(window[at - base :]))[:7] == VERSION[:7]:
+        if (begun if len(begun) >= 7 else start_of(window[at - base : at - base + FIRST]))[:7] == VERSION[:7]:
             raise ValueError(f"the record at byte {at} is damaged") from error
         return None
+    if len(begun) >= 7:
+        raise ValueError(f"the record at byte {at} is not complete")
+    return None
 
 
-def start_of(member: bytes) -> bytes:
+def start_of(member: bytes | memoryview) -> bytes:
     """The first bytes of a member's content; nothing if they do not decode."""
     try:
         return zlib.decompressobj(GZIP).decompress(member, len(VERSION))
@@ -142,10 +152,11 @@ def records(path: str, start: int, end: int) -> Iterator[tuple[int, bytes]]:
     with open_file(path) as file:
         size = file.size()
         window = file.read_at(min(size, end + AHEAD) - start, start)
+        view = memoryview(window)
         at = start
         while 0 <= (found := window.find(MAGIC, at - start)) < end - start:
             at = start + found
-            if got := inflate(file, size, at, window, start):
+            if got := inflate(file, size, at, view, start):
                 yield at, got[0]
                 at = got[1]
                 if at >= end:
