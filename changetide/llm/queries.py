@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from changetide.llm import chat, fingerprints, packing, pieces, quality, repeats, simhash, tokens, toxicity, warc
+from changetide.llm import chat, classifier, fingerprints, merkle, packing, pieces, quality, repeats, simhash, tokens, toxicity, trie, warc
 from changetide.llm.common import table
 
 #: The vocabulary of byte_bpe_50k.json in the form that is fastest to encode with.
@@ -58,6 +58,18 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.dataset_manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op4_sentencepiece, op5_document_fingerprints, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity, op10_chat_formatting]
+    found = [op1_token_counts, op2_simhash_near_dedup, op3_quality_rules, op4_sentencepiece, op5_document_fingerprints, op6_best_fit_packing, op7_warc, op8_suffix_array_dedup, op9_toxicity, op10_chat_formatting, op11_merkle_manifest, op12_quality_classifier, op13_prefix_trie]
     return {f.__name__: f for f in found}
