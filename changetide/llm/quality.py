@@ -185,19 +185,22 @@ def judge(docs: DataFrame, rules: Rules = Rules(), host_column: str = "source",
     have no words and fail; a null host is a host of its own; copies and repeated rows are judged
     alike. Columns of `docs` may have any names but those beginning with an underscore used here.
     """
-    return judged_by(docs, *line_tables(docs, rules, host_column, text_column), rules, host_column, text_column)
+    depleted = depleted_by(*line_tables(docs, rules, host_column, text_column), rules)
+    verdicts, _ = stored(depleted.withColumn("_depleted", F.lit(True)), "depleted")
+    return judged_by(docs, verdicts, rules, host_column, text_column)
 
 
-def judged_by(docs: DataFrame, lines: DataFrame, common: DataFrame, rules: Rules, host_column: str, text_column: str) -> DataFrame:
+def judged_by(docs: DataFrame, verdicts: DataFrame, rules: Rules, host_column: str, text_column: str) -> DataFrame:
+    """`docs` with `_signs`, `_kept` and the columns of `verdicts`: host, text_key, _depleted and maybe more, stored.
+
+    The one move of the texts. It is a merge at every size, so that cost grows in proportion, and as both
+    sides are read from storage, Spark splits what a text with very many copies makes skewed.
+    """
     signs = with_signs(docs, rules, text_column)
     host = F.coalesce(F.col(host_column).cast("string"), F.lit(""))
-    depleted = depleted_by(lines, common, rules).select(
-        F.col("host").alias("_host"), F.col("text_key").alias("_text_key"), F.lit(True).alias("_depleted")
-    )
-    depleted, _ = stored(depleted, "depleted")  # so that a text with very many copies is a skewed join that Spark splits
-    joined = signs.join(depleted, (host == F.col("_host")) & (F.col("_signs.text_key") == F.col("_text_key")), "left")
-    kept = ~F.col("_signs.base_failed") & F.col("_depleted").isNull()
-    return joined.select(*docs.columns, "_signs", kept.alias("_kept"))
+    told = verdicts.withColumnsRenamed({"host": "_host", "text_key": "_text_key"}).hint("merge")
+    joined = signs.join(told, (host == F.col("_host")) & (F.col("_signs.text_key") == F.col("_text_key")), "left")
+    return joined.withColumn("_kept", ~F.col("_signs.base_failed") & F.col("_depleted").isNull())
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules(), id_column: str = "doc_id", host_column: str = "source", text_column: str = "text") -> DataFrame:
@@ -221,10 +224,10 @@ def clean_good(docs: DataFrame, rules: Rules = Rules(), host_column: str = "sour
     """
     lines, common = line_tables(docs, rules, host_column, text_column)
     cut = lines.join(common, ["host", "line"]).groupBy("host", "text_key").agg(F.collect_list("line").alias("_lines"))
-    cut, _ = stored(cut.select(F.col("host").alias("_host"), F.col("text_key").alias("_text_key"), "_lines"), "cut")
-    kept = judged_by(docs, lines, common, rules, host_column, text_column).where("_kept")
-    host = F.coalesce(F.col(host_column).cast("string"), F.lit(""))
-    joined = kept.join(cut, (host == F.col("_host")) & (F.col("_signs.text_key") == F.col("_text_key")), "left")
+    depleted = depleted_by(lines, common, rules).withColumn("_depleted", F.lit(True))
+    told = depleted.unionByName(cut, allowMissingColumns=True).groupBy("host", "text_key")
+    verdicts, _ = stored(told.agg(F.first("_depleted", True).alias("_depleted"), F.first("_lines", True).alias("_lines")), "verdicts")
+    joined = judged_by(docs, verdicts, rules, host_column, text_column).where("_kept")
     left = F.filter(
         F.split(text_or_empty(text_column), "\n", -1), lambda x: ~F.array_contains(F.col("_lines"), F.xxhash64(normalised(x)))
     )

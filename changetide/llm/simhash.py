@@ -188,7 +188,8 @@ def keep_one(docs: DataFrame, **parameters) -> DataFrame:
     found = near_duplicates(docs, **parameters)
     kept = found.where(F.col("component_id") == F.col(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     kept, _ = stored(kept.select(F.col(name).alias("_kept"), F.col("n").alias("_n")), "kept")
-    same = F.col(name) == F.col("_kept")
-    once = docs.join(kept.where("_n = 1"), same, "left_semi")
-    repeated = docs.join(kept.where("_n > 1"), same, "left_semi").dropDuplicates([name])
-    return once.unionByName(repeated).unionByName(docs.where(F.col(name).isNull()))
+    # A merge at every size, so that the texts' move grows in proportion to them.
+    chosen = lambda rows: docs.join(rows.hint("merge"), F.col(name) == F.col("_kept"), "left_semi")
+    found = chosen(kept.where("_n = 1")).unionByName(docs.where(F.col(name).isNull()))
+    repeated = kept.where("_n > 1")
+    return found if repeated.isEmpty() else found.unionByName(chosen(repeated).dropDuplicates([name]))
