@@ -144,14 +144,14 @@ def unseen_changes(batch: DataFrame, table: DataFrame, ranges: list) -> DataFram
     return batch.join(known, "_h", "left_anti")
 
 
-def merge_changes(batch: DataFrame, path: str, ranges: list | None = None) -> None:
+def merge_changes(batch: DataFrame, path: str, ranges: list | None = None, known: DataFrame | None = None) -> None:
     """Append to the table at `path` the rows of a de-duplicated batch that are not in it.
 
     Loading the same rows again adds nothing. `ranges` are the collected `batch_ranges` (one row
     per calendar day); without them they are taken from the batch, which is then computed twice,
-    so hand in stored rows.
+    so hand in stored rows. `known` are the rows of the table that count, by default all.
     """
     spark: SparkSession = batch.sparkSession
     if ranges is None:
         ranges = batch_ranges(with_partitions(batch)).collect()
-    append_changes(unseen_changes(batch, read_table(spark, path), ranges), path)
+    append_changes(unseen_changes(batch, read_table(spark, path) if known is None else known, ranges), path)

@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from changetide.functions.columns import base_name
+from changetide.operators.filters import TS
 from changetide.operators.registry import load_fact, record_facts, timestamp_fact
-from changetide.operators.rollups import refresh_rollups
+from changetide.operators.rollups import both_hourly_counts, refresh_rollups
 from changetide.operators.staging import (
     add_content_key,
     batch_ranges,
@@ -20,8 +21,9 @@ from changetide.operators.staging import (
 )
 from changetide.schema import CANARY_DOMAIN, DUMP_GLOB, EVENT_COLUMNS
 from changetide.session import drop_scratch, require_utc, scratch_dir
+from changetide.sources.commits import attempt_of, commit, new_attempt, read_commits, store_counts
 from changetide.sources.dumps import list_dumps, read_lines
-from changetide.sources.tables import ensure_registry, ensure_table, read_table, with_partitions
+from changetide.sources.tables import committed_table, ensure_registry, ensure_table, read_table, with_partitions
 
 
 STATS_SCHEMA = (
@@ -56,20 +58,28 @@ def stage_lines(lines: DataFrame, folder: str) -> DataFrame:
 
 
 def merge_staged(staged: DataFrame, target: str, load_id: str) -> DataFrame:
-    """Merge a staging table into the event table; returns the counts per file.
+    """Merge a staging table into the event table as one load; returns the counts per file.
 
     A key found in several files is credited to the first by name that has it as a real event, as if
     they were loaded in turn. `deduplicated` are a file's keys with a real event, which are those that
     de-duplication leaves of the file alone.
-    What was merged is counted in the table itself by `load_id`, so the number is right also if an
-    interrupted load was run again under its id.
+    Events and their hourly counts are written under the id of this attempt and count once it is committed.
+    A load that was committed under its id is not run again; one that died before starts anew, beside
+    what it left. What was merged is counted in the table itself.
     """
     spark = staged.sparkSession
     events = staged.where("has_meta")
     ranges = batch_ranges(events).collect()
-    batch = dedup_changes(events.select("filename", *EVENT_COLUMNS), first=("filename",))
-    batch = batch.withColumns({"load_id": F.lit(load_id), "load_file": F.col("filename")})
-    merge_changes(batch, target, ranges)
+    attempt = attempt_of(spark, target, load_id)
+    if attempt is None:
+        attempt = new_attempt()
+        batch = dedup_changes(events.select("filename", *EVENT_COLUMNS), first=("filename",))
+        batch = batch.withColumns({"load_id": F.lit(attempt), "load_file": F.col("filename")})
+        merge_changes(batch, target, ranges, committed_table(spark, target))
+        new = possible_matches(read_table(spark, target), ranges).where(F.col("load_id") == attempt)
+        if read_commits(spark, target) is not None:
+            store_counts(spark, both_hourly_counts(new.where(F.col(TS).isNotNull())), target, attempt)
+            commit(spark, target, load_id, attempt)
 
     distinct_key = F.when(F.col("has_meta") & (F.col("event_meta_domain") != CANARY_DOMAIN), F.col("_h"))
     counts = staged.groupBy("filename").agg(
@@ -81,7 +91,7 @@ def merge_staged(staged: DataFrame, target: str, load_id: str) -> DataFrame:
     )
     merged = (
         possible_matches(read_table(spark, target), ranges)
-        .where(F.col("load_id") == load_id)
+        .where(F.col("load_id") == attempt)
         .groupBy(F.col("load_file").alias("filename"))
         .agg(F.count(F.lit(1)).alias("merged"))
     )
@@ -115,6 +125,7 @@ def load_batch(
 ) -> DataFrame:
     """Load dumps (or folders of them) as one batch with one write to the table.
 
+    Readers of the table, and of the counts kept with it (`committed_rollup`), see all of the load or nothing of it.
     Returns per file: lines, undecodable lines, staged and ill-typed events, events after
     de-duplication, merged events. Loading a file again merges nothing. With `registry` the begin,
     the end and the counts are recorded there; with `rollups` the stored rollups are brought up to

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changetide.functions.columns import key_date, wiki_group
+from changetide.sources.commits import ensure_commits, only_committed, read_commits
+from changetide.sources.files import exists
 from changetide.schema import (
     EVENT_COLUMNS,
     PARTITION_COLUMNS,
@@ -15,19 +17,29 @@ from changetide.schema import (
 
 
 def ensure_table(spark: SparkSession, path: str) -> None:
-    """Create the event table if nothing is stored there yet."""
-    empty = spark.createDataFrame([], TABLE_SCHEMA)
-    empty.write.mode("ignore").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    """Create the event table, and its commit table, if nothing is stored there yet.
+
+    A table that has rows of loads from before there were commits is left as it is first: all its rows count.
+    """
+    if not exists(spark, path):
+        empty = spark.createDataFrame([], TABLE_SCHEMA)
+        empty.write.mode("ignore").partitionBy(*PARTITION_COLUMNS).parquet(path)
+        ensure_commits(spark, path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """All stored columns. The schema is given, so no file is opened to plan a query."""
+    """All stored rows and columns, those of loads under way too. The schema is given, so no file is opened to plan a query."""
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """The event columns and the partition columns (which the filters use for pruning)."""
-    return read_table(spark, path).select(*EVENT_COLUMNS, *PARTITION_COLUMNS)
+    """The event columns and the partition columns (which the filters use for pruning), of committed loads."""
+    return committed_table(spark, path).select(*EVENT_COLUMNS, *PARTITION_COLUMNS)
+
+
+def committed_table(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of the rows that count: those of committed loads, and those written without a load."""
+    return only_committed(read_table(spark, path), read_commits(spark, path))
 
 
 def with_partitions(changes: DataFrame) -> DataFrame:
