@@ -16,9 +16,18 @@ def with_slice_start(changes: DataFrame) -> DataFrame:
     return changes.withColumn("slice_start", start)
 
 
-def dump_slices(changes: DataFrame, max_events: int = MAX_EVENTS_PER_SLICE) -> DataFrame:
+def count_slices(changes: DataFrame) -> DataFrame:
+    """Events per slice: slice_start, events."""
+    return with_slice_start(changes).groupBy("slice_start").agg(F.count(F.lit(1)).alias("events"))
+
+
+def dump_slices(
+    changes: DataFrame, max_events: int = MAX_EVENTS_PER_SLICE, before: DataFrame | None = None
+) -> DataFrame:
     """Adds `slice_start` and `slice_part`, each part holding at most `max_events` events.
 
+    `before` (slice_start, events) tells how many events slices have already; numbering goes on from there.
+
     Event time stands in for the wall clock of the writer. Events are numbered by second, and by
     content key within it; `changes` is the event table, whose keys are unique. The numbering is
     done in cells of one second and one of 256 key ranges, to which the counts of the cells before
@@ -35,7 +44,7 @@ def dump_slices(changes: DataFrame, max_events: int = MAX_EVENTS_PER_SLICE) -> D
         }
     )
     cell = ["_slice", "_second", "_range"]
-    before = (
+    earlier = (
         Window.partitionBy("_slice")
         .orderBy("_second", "_range")
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -44,8 +53,13 @@ def dump_slices(changes: DataFrame, max_events: int = MAX_EVENTS_PER_SLICE) -> D
     starts = (
         cells.groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*cell, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        .select(*cell, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
+    if before is not None:
+        given = before.select(F.coalesce(micros(F.col("slice_start")), none).alias("_slice"), "events")
+        starts = starts.join(given, "_slice", "left").select(
+            *cell, (F.col("_start") + F.coalesce("events", F.lit(0))).alias("_start")
+        )
     number = F.row_number().over(Window.partitionBy(*cell).orderBy("_h"))
     numbered = cells.withColumn("_number", number).join(starts, cell)
     position = F.col("_start") + F.col("_number") - 1

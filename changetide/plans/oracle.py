@@ -406,6 +406,17 @@ def oracle_sql() -> dict[str, str]:
         "dump_slices": f"""{_TABLE} SELECT event_meta_id, slice_start,
             CAST((row_number() OVER (PARTITION BY slice_start
               ORDER BY date_trunc('second', ts_event_meta_dt), _h) - 1) // 5 AS BIGINT) AS slice_part FROM changes""",
+        "stream_dump_slices": f"""{_TABLE} SELECT event_meta_id, slice_start,
+            CAST((row_number() OVER (PARTITION BY slice_start
+              ORDER BY date_trunc('second', ts_event_meta_dt), _h) - 1) // 5 AS BIGINT) AS slice_part FROM changes""",
+        "stream_late_rows": f"""{_RECEIVED} SELECT event_meta_id, ts_event_meta_dt FROM keyed
+            WHERE ts_event_meta_dt < TIMESTAMP '2024-01-15 12:34:00'
+            AND ts_event_meta_dt <= (SELECT MAX(ts_event_meta_dt) FROM keyed) - INTERVAL 1 HOUR""",
+        "stream_health_timeout": f"""{_RECEIVED} SELECT UNNEST(['OK', 'ERROR']) AS status, MAX(ts_event_meta_dt) AS last_event
+            FROM keyed""",
+        "committed_changes": all_changes,
+        "committed_rollups": f"""{_ROLLED} SELECT {rolled}, 'all' AS rollup FROM counts_all
+            UNION ALL SELECT {rolled}, 'edits' AS rollup FROM counts_edits""",
         "stream_hourly_counts": _stream_counts(""),
         "stream_hourly_counts_edits": _stream_counts("AND event_type = 'edit'"),
         "stream_health": f"""{_RECEIVED} SELECT MAX(ts_event_meta_dt) AS last_event, {age} AS age_sec,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -30,8 +31,8 @@ from changetide.operators import (
 from changetide.plans import load
 from changetide.schema import EVENT_COLUMNS, REGISTRY_SCHEMA, STAGED_COLUMNS
 from changetide.session import scratch_dir
-from changetide.sources import dumps, epochs, tables
-from changetide.streaming import jobs
+from changetide.sources import commits, dumps, epochs, tables
+from changetide.streaming import batches, health, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +48,7 @@ SINCE = "2024-01-05"
 HISTORY_FROM, HISTORY_TO = dt.date(2024, 1, 9), dt.datetime(2024, 1, 31)
 AS_OF = "2024-01-31 00:00:00"
 MERGE_BOUNDARY = "2024-01-15 12:34:00"
+STREAM_CUTS = ["2024-01-08 10:20:30", MERGE_BOUNDARY, "2024-01-22 00:04:59"]
 DUMP_MAX_AGE = 14
 COLOURS = 10
 SLICE_EVENTS = 5
@@ -217,6 +219,29 @@ def q_load_batch(spark, d):
     return tables.read_changes(spark, target).select(*EVENT_COLUMNS)
 
 
+def _loads_out_of_order(spark, d) -> str:
+    """A table from two loads, the later days first, and a part of a third one that died in its write."""
+    target = scratch_dir(spark, "table")
+    days = sorted(r["path"] for r in dumps.list_dumps(spark, dump_folder(spark, d), "*.gz").select("path").collect())
+    half = len(days) // 2
+    for part in (days[half:], days[:half]):
+        load.load_batch(spark, part, target, glob=None)
+    torn = mapping.event_table(spark, d).where("event_id % 3 = 0")
+    tables.append_changes(torn.withColumns({"load_id": F.lit("died"), "load_file": F.lit("x")}), target)
+    return target
+
+
+def q_committed_changes(spark, d):
+    return tables.read_changes(spark, _loads_out_of_order(spark, d)).select(*EVENT_COLUMNS)
+
+
+def q_committed_rollups(spark, d):
+    """Both rollups from the counts that came with the loads, folded once; no event is read again."""
+    target = _loads_out_of_order(spark, d)
+    commits.fold_counts(spark, target)
+    return commits.committed_rollups(spark, target)
+
+
 def q_load_stats(spark, d):
     target = scratch_dir(spark, "table")
     stats = load.load_batch(spark, dump_folder(spark, d), target, glob="*.gz")
@@ -587,6 +612,52 @@ def q_stream_health(spark, d):
     return spark.table(name)
 
 
+def q_stream_health_timeout(spark, d):
+    """The state turns to OK by the events, and to ERROR a second after them; the memory sink holds two rows."""
+    out = scratch_dir(spark, "stream-state")
+    name = "health_timeout_" + out[-32:]
+    changes = health.stream_health_timeout(event_stream(spark, d), max_age=1)
+    writer = changes.writeStream.format("memory").queryName(name).outputMode("append")
+    query = writer.option("checkpointLocation", out).trigger(processingTime="200 milliseconds").start()
+    try:
+        while query.isActive and spark.table(name).where("status = 'ERROR'").isEmpty():
+            time.sleep(0.2)
+        if failure := query.exception():
+            raise failure
+    finally:
+        query.stop()
+    return spark.table(name).select("status", "last_event")
+
+
+def in_turn(spark: SparkSession, parts: list[DataFrame]) -> DataFrame:
+    """A stream that brings some tables one after the other, each as a batch."""
+    folder = scratch_dir(spark, "stream-source")
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def q_stream_dump_slices(spark, d):
+    """The events in four batches, one after the other in time."""
+    changes = mapping.event_table(spark, d).withColumn(filters.TS, F.col(filters.TS).cast("timestamp"))
+    cuts = ["1970-01-01", *STREAM_CUTS, "9999-01-01"]
+    between = [(F.col(filters.TS) >= F.lit(a).cast("timestamp")) & (F.col(filters.TS) < F.lit(b).cast("timestamp")) for a, b in zip(cuts, cuts[1:])]
+    stream = in_turn(spark, [changes.where(span) for span in between])
+    out, checkpoint = scratch_dir(spark, "stream"), scratch_dir(spark, "stream-state")
+    batches.stream_dump_slices(stream, out, checkpoint, SLICE_EVENTS).awaitTermination()
+    return batches.sliced(spark, out, stream.schema).select("event_meta_id", "slice_start", "slice_part")
+
+
+def q_stream_late_rows(spark, d):
+    """What is too late if the later events come first; those in time are de-duplicated elsewhere."""
+    keyed = mapping.keyed(spark, d).withColumn(filters.TS, F.col(filters.TS).cast("timestamp"))
+    boundary = F.lit(MERGE_BOUNDARY).cast("timestamp")
+    stream = in_turn(spark, [keyed.where(F.col(filters.TS) >= boundary), keyed.where(F.col(filters.TS) < boundary)])
+    late, checkpoint = scratch_dir(spark, "late"), scratch_dir(spark, "stream-state")
+    batches.stream_split_late(stream, lambda rows, batch: None, late, checkpoint).awaitTermination()
+    return batches.late_table(spark, late, stream.schema).select("event_meta_id", filters.TS)
+
+
 def q_stream_watch_user(spark, d):
     return _shown(_run(spark, jobs.stream_watch_user(event_stream(spark, d), USER)))
 
