@@ -10,6 +10,7 @@ are not shuffled unless asked for.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -24,6 +25,8 @@ from changetide.llm.common import map_arrow, slices, ship, stored, text_or_empty
 #: Pieces of a packing group, on average.
 GROUP = 32_768
 _NOWHERE = 1 << 60
+#: Runs of white space that are encoded apart. Fixed value: the characters that the word pattern takes for it.
+_LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}").finditer
 
 
 def cut(length: int, most: int) -> list[tuple[int, int]]:
@@ -37,6 +40,28 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
+class Encoder:
+    """Token ids of texts in one worker.
+
+    The library's word pattern fails on very long white space, as it looks ahead behind it. That of a long run is known:
+    one word up to its last character, which goes with what follows, or up to the end of the text. So
+    such runs are cut out and encoded as the words they are.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, special: dict[str, int]):
+        self.encoding = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+    def __call__(self, text: str) -> np.ndarray:
+        start, parts = 0, []
+        for run in _LONG_BLANK(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts.append(self.encoding.encode_to_numpy(text[start : run.start()], allowed_special="all"))
+            parts.append(np.array(self.encoding._encode_single_piece(text[run.start() : end]), "<u4"))
+            start = end
+        parts.append(self.encoding.encode_to_numpy(text[start:], allowed_special="all"))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+
 def token_pieces(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -56,12 +81,11 @@ def token_pieces(
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, words, strings = shared.value
-        encoding = tiktoken.Encoding("packing", pat_str=words, mergeable_ranks=known, special_tokens=strings)
+        encode = Encoder(*shared.value)
         for batch in slices(batches, "text"):
             parent, columns = [], ([], [], [], [], [])
             for row, text in enumerate(batch.column("text").to_pylist()):
-                ids = np.append(encoding.encode_to_numpy(text, allowed_special="all"), end).astype("<u4")
+                ids = np.append(encode(text), end).astype("<u4")
                 for number, (start, length) in enumerate(cut(len(ids), most)):
                     own = ids[start : start + length]
                     parent.append(row)

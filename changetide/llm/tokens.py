@@ -120,6 +120,9 @@ class WordCounter:
                     total += len(self.tokenizer.encode_batch_fast([" ".join(odd)], add_special_tokens=False)[0].ids)
                     part = self.odd_words.sub(" ", part)
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                if not unicodedata.is_normalized("NFC", part.lower()):  # as of İ with a mark: not to be composed again
+                    total += len(self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids)
+                    continue
             words = self.words(part.lower())
             known = self.known
             if rest := [w for w in set(words) if w not in known]:

@@ -6,10 +6,12 @@ import re
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from changetide.llm import classifier, merkle, order, trie, warc
+from changetide.llm import classifier, merkle, order, packing, queries, tokens, trie, warc
 from changetide.llm.common import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -294,3 +296,29 @@ def test_a_record_longer_than_the_window(tmp_path):
     path.write_bytes(zlib.compress(body, 1, 31) + zlib.compress(b"WARC/1.1 next", 1, 31))
     assert [c for _, c in warc.records(str(path), 0, 50)] == [body]
     assert [c for _, c in warc.records(str(path), 50, path.stat().st_size)] == [b"WARC/1.1 next"]
+
+
+@pytest.mark.parametrize("text", [
+    "a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x " + " \t\u2003" * 400_000 + "<|endoftext|> y", "k" * 2_000_000, "a  b" + "\r\n" * 9_000 + " " * 10_001 + "\n7",
+])
+def test_packing_encodes_very_long_runs(text):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    options = queries.PACKING
+    encode = packing.Encoder(packing.load_ranks(options["ranks"]), options["pattern"], options["special"])
+    assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_counting_marks_and_random_texts():
+    """Marks behind letters that change in lower case, and random texts of odd characters, as the library counts them."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        definition = file.read()
+    counter, library = tokens.WordCounter(definition, tokens.whole_tokens(definition), tokens.stable_characters()), Tokenizer.from_file(path)
+    marks = ["\u05b1", "\u0327", "\u0316", "\u0301", "\u0345", "\u0e38"]
+    cases = [f"x {a}{m}{n} İstanbul y" for a in "İIiſÅΣςǅ" for m in marks for n in marks]
+    rng = random.Random(9)
+    alphabet = "İIiΣσς aB'’1 .\n\u200d" + "".join(marks) + "éÉßẞĳǆ漢字한ᄒ\u1161\u11ab\u0958\u212b"
+    cases += ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    want = [len(e.ids) for e in library.encode_batch(cases, add_special_tokens=False)]
+    wrong = [(c, counter.count(c), w) for c, w in zip(cases, want, strict=True) if counter.count(c) != w]
+    assert not wrong
