@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from changetide.schema import REGISTRY_SCHEMA
+from changetide.sources import files
 
 # Kinds of facts. The three time stamps a load reports, and two more.
 TIMESTAMP_FACTS = ["load_begin", "load_complete", "archived"]
@@ -57,3 +58,34 @@ def registry_state(facts: DataFrame) -> DataFrame:
         F.max_by("events_merged", counted).alias("loadstat_events_merged"),
         latest("archived").alias("ts_file_archive"),
     )
+
+
+def compact_facts(facts: DataFrame) -> DataFrame:
+    """Facts that say the same of each file in few rows: one per kind, and the one with the latest counts.
+
+    `registry_state` takes first and last times and the latest counts, so facts may be gathered in any order, again
+    and again, and beside those they were made from.
+    """
+    at = F.when(F.col("fact") == "registered", F.min("at")).otherwise(F.max("at"))
+    times = facts.groupBy("filename", "fact").agg(at.alias("at"))
+    counted = facts.where(F.col("events_in_file").isNotNull()).groupBy("filename").agg(
+        F.max(F.struct("at", "events_in_file", "events_merged", "fact")).alias("last")
+    )
+    nothing = F.lit(None).cast("bigint")
+    both = times.withColumns({"events_in_file": nothing, "events_merged": nothing}).unionByName(
+        counted.select("filename", "last.fact", "last.at", "last.events_in_file", "last.events_merged")
+    )
+    return both.select(*REGISTRY_SCHEMA.fieldNames())
+
+
+def compact_registry(spark: SparkSession, path: str) -> None:
+    """Replace the log by its compact form: that is added first, then the old files go.
+
+    A reader, or a run that dies in between, finds facts twice, which changes nothing. Facts that are
+    recorded meanwhile stay, as only files that were read are removed.
+    """
+    old = [f for f in files.children(spark, path) if f.endswith(".parquet")]
+    if old:
+        record_facts(compact_facts(spark.read.schema(REGISTRY_SCHEMA).parquet(*old)), path)
+        for file in old:
+            files.drop(spark, file)

@@ -244,6 +244,15 @@ def oracle_sql() -> dict[str, str]:
     rolled = "date, hour, event_wiki, count_bot_flagignore, count_bot_true, count_bot_false"
     age = "CAST(epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(MAX(ts_event_meta_dt)) AS DOUBLE) / 1000000.0::DOUBLE"
     hourly = f"{_DAY} AS date, {_HOUR} AS hour, COUNT(*) AS c FROM changes"
+    registry_state = f"""{_FACTS} SELECT filename,
+            MIN(CASE WHEN fact = 'registered' THEN ts END) AS ts_entry_creation,
+            MAX(CASE WHEN fact = 'transferred' THEN ts END) AS ts_file_transfer,
+            MAX(CASE WHEN fact = 'load_begin' THEN ts END) AS ts_load_begin,
+            MAX(CASE WHEN fact = 'load_complete' THEN ts END) AS ts_load_end,
+            arg_max(event_id, ts) FILTER (WHERE fact = 'load_complete') AS loadstat_events_in_file,
+            arg_max(user_id, ts) FILTER (WHERE fact = 'load_complete') AS loadstat_events_merged,
+            MAX(CASE WHEN fact = 'archived' THEN ts END) AS ts_file_archive
+            FROM facts GROUP BY filename"""
     return {
         "flagship": f"{_ROLLED} SELECT * FROM counts_all",
         "read_dumps": f"{_LINES} SELECT dump AS filename, COUNT(*) AS lines FROM lines GROUP BY 1",
@@ -252,15 +261,8 @@ def oracle_sql() -> dict[str, str]:
         "select_ready_dumps": f"{_NAMES} SELECT filename, ts IS NOT NULL AS is_valid_filename, ts FROM parsed",
         "expired_dumps": f"""{_NAMES} SELECT filename, ts FROM parsed
             WHERE TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 14 DAY > ts""",
-        "load_registry": f"""{_FACTS} SELECT filename,
-            MIN(CASE WHEN fact = 'registered' THEN ts END) AS ts_entry_creation,
-            MAX(CASE WHEN fact = 'transferred' THEN ts END) AS ts_file_transfer,
-            MAX(CASE WHEN fact = 'load_begin' THEN ts END) AS ts_load_begin,
-            MAX(CASE WHEN fact = 'load_complete' THEN ts END) AS ts_load_end,
-            arg_max(event_id, ts) FILTER (WHERE fact = 'load_complete') AS loadstat_events_in_file,
-            arg_max(user_id, ts) FILTER (WHERE fact = 'load_complete') AS loadstat_events_merged,
-            MAX(CASE WHEN fact = 'archived' THEN ts END) AS ts_file_archive
-            FROM facts GROUP BY filename""",
+        "load_registry": registry_state,
+        "compacted_registry": registry_state,
         "new_dumps": f"""{_FACTS} SELECT DISTINCT filename FROM facts
             WHERE filename NOT IN (SELECT filename FROM facts WHERE fact = 'load_complete'
               AND ts < TIMESTAMP '2024-01-15 12:34:00')""",
@@ -414,6 +416,10 @@ def oracle_sql() -> dict[str, str]:
             AND ts_event_meta_dt <= (SELECT MAX(ts_event_meta_dt) FROM keyed) - INTERVAL 1 HOUR""",
         "stream_health_timeout": f"""{_RECEIVED} SELECT UNNEST(['OK', 'ERROR']) AS status, MAX(ts_event_meta_dt) AS last_event
             FROM keyed""",
+        "stored_extent": f"""{_TABLE} SELECT MIN(ts_event_meta_dt) AS min_ts, MAX(ts_event_meta_dt) AS max_ts FROM changes""",
+        "stored_complete_hours": _shown(
+            "ts_event_meta_dt < (SELECT date_trunc('hour', MAX(ts_event_meta_dt)) FROM changes)"
+        ),
         "committed_changes": all_changes,
         "committed_rollups": f"""{_ROLLED} SELECT {rolled}, 'all' AS rollup FROM counts_all
             UNION ALL SELECT {rolled}, 'edits' AS rollup FROM counts_edits""",

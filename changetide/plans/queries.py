@@ -19,6 +19,7 @@ from changetide.functions.columns import (
 from changetide.operators import (
     breakdown,
     bursts,
+    extent,
     filters,
     registry,
     retention,
@@ -169,6 +170,16 @@ def q_load_registry(spark, d):
     return registry.registry_state(registry_facts(spark, d))
 
 
+def q_compacted_registry(spark, d):
+    """The log of all facts in parts, made compact after each."""
+    path = scratch_dir(spark, "registry")
+    for part in range(2):
+        facts = registry_facts(spark, d).where(F.pmod(F.hash("at"), F.lit(2)) == part)
+        registry.record_facts(facts, path)
+        registry.compact_registry(spark, path)
+    return registry.registry_state(tables.read_registry(spark, path))
+
+
 def q_new_dumps(spark, d):
     """Dumps of all hours against the facts known at one point in time."""
     facts = registry_facts(spark, d)
@@ -497,6 +508,15 @@ def q_event_count(spark, d):
     return status.event_count(mapping.event_table(spark, d))
 
 
+def q_stored_extent(spark, d):
+    """Oldest and newest event of the stored table, out of its outermost days."""
+    return extent.stored_extent(spark, _stored(spark, d)[0])
+
+
+def q_stored_complete_hours(spark, d):
+    return _shown(extent.stored_complete_hours(spark, _stored(spark, d)[0]))
+
+
 def q_db_stats(spark, d):
     return status.db_stats(mapping.event_table(spark, d), AS_OF)
 
