@@ -157,9 +157,8 @@ page AS (
   WHERE event_type = 'edit' AND event_wiki = 'wikidatawiki' AND event_title = 'Page 51'),
 days AS (SELECT DISTINCT CAST(ts_event_meta_dt AS DATE) AS day FROM changes),
 calendar AS (
-  SELECT CAST(first_day AS TIMESTAMP) + to_hours(CAST(n AS BIGINT)) AS t
-  FROM (SELECT MIN(day) AS first_day, MAX(day) AS last_day FROM days), range(0, 24 * 400) AS r(n)
-  WHERE CAST(first_day AS TIMESTAMP) + to_hours(CAST(n AS BIGINT)) < CAST(last_day AS TIMESTAMP) + INTERVAL 1 DAY),
+  SELECT unnest(generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS t
+  FROM (SELECT MIN(day) AS first_day, MAX(day) AS last_day FROM days)),
 filled AS (
   SELECT t, (SELECT COUNT(*) FROM page WHERE date_trunc('hour', edited) = t) AS value FROM calendar
   WHERE EXISTS (SELECT 1 FROM page WHERE edited < t + INTERVAL 1 HOUR) AND EXISTS (SELECT 1 FROM page WHERE edited >= t))

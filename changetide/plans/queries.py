@@ -32,7 +32,7 @@ from changetide.operators import (
 from changetide.plans import load
 from changetide.schema import EVENT_COLUMNS, REGISTRY_SCHEMA, STAGED_COLUMNS
 from changetide.session import scratch_dir
-from changetide.sources import commits, dumps, epochs, tables
+from changetide.sources import commits, dumps, epochs, files, tables
 from changetide.streaming import batches, health, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +55,13 @@ COLOURS = 10
 SLICE_EVENTS = 5
 USER = "u7"
 
-_dump_folders: dict[tuple[str, str], str] = {}
-_stored_tables: dict[tuple[str, str], tuple[str, str]] = {}
+_dump_folders: dict[tuple, str] = {}
+_stored_tables: dict[tuple, tuple[str, str]] = {}
+
+
+def _version(spark: SparkSession, folder: str) -> tuple:
+    """What tables written once a session are kept by: the session, the folder and the state of its events."""
+    return (spark.sparkContext.applicationId, folder, files.fingerprint(spark, f"{folder}/events.parquet"))
 
 
 def plain_times(result: DataFrame) -> DataFrame:
@@ -86,7 +91,7 @@ def dump_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def dump_folder(spark: SparkSession, folder: str) -> str:
     """The dumps of a data folder, written once per session to the shared scratch folder."""
-    key = (spark.sparkContext.applicationId, folder)
+    key = _version(spark, folder)
     if key not in _dump_folders:
         out = scratch_dir(spark, "dumps")
         dumps.write_dumps(dump_lines(spark, folder), out, order=("ts", "message"))
@@ -105,7 +110,7 @@ def stored_rollup(spark: SparkSession, folder: str, edits_only: bool = False) ->
 
 
 def _stored(spark: SparkSession, folder: str) -> tuple[str, str]:
-    key = (spark.sparkContext.applicationId, folder)
+    key = _version(spark, folder)
     if key not in _stored_tables:
         target, out = scratch_dir(spark, "table"), scratch_dir(spark, "rollups")
         tables.append_changes(mapping.event_table(spark, folder), target)

@@ -23,6 +23,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().toString() for status in store.listStatus(place))
 
 
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of a file, or of the files of a folder: changes if the data does."""
+    store, place = _store(spark, path)
+    return tuple(sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in store.listStatus(place)))
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a file or folder that a table no longer needs."""
     store, place = _store(spark, path)

@@ -4,10 +4,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from changetide import mapping
 from changetide.operators import extent
 from changetide.operators.filters import complete_hours_only
 from changetide.operators.registry import compact_registry, load_fact, record_facts, registry_state, timestamp_fact
 from changetide.operators.staging import add_content_key, parse_changes
+from changetide.plans import queries
 from changetide.schema import EVENT_COLUMNS
 from changetide.sources import files
 from changetide.sources.tables import append_changes, read_changes, read_registry
@@ -65,3 +67,13 @@ def test_compact_registry_says_the_same(spark, tmp_path):
     state = {r["filename"]: r for r in registry_state(read_registry(spark, path)).collect()}
     assert (state["b"]["loadstat_events_in_file"], state["b"]["loadstat_events_merged"], state["b"]["ts_load_end"]) == (7, 0, at(11))
     assert len([f for f in files.children(spark, path) if f.endswith(".parquet")]) < 5
+
+
+def test_stored_tables_follow_the_data(spark, tmp_path):
+    """Other data under the same path is not answered from what was written before."""
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for share in (4, 2):
+        source.where(F.col("event_id") % share == 0).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        stored = queries.stored_table(spark, str(tmp_path))
+        assert stored.count() == mapping.event_table(spark, str(tmp_path)).count()
+        assert queries.dump_folder(spark, str(tmp_path)) == queries.dump_folder(spark, str(tmp_path))
