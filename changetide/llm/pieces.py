@@ -5,9 +5,10 @@ Viterbi pass finds the best score of reaching each position. For a search from t
 the exact rest cost, so A-star completes paths in order of their score and never expands a partial path
 that is not the beginning of the next best one, but for ties.
 
-No piece has a word mark after other characters, so the lattice falls apart at words; a word is searched
-once and remembered. The best of a text differ from its best path in the words with the smallest loss.
-Everything is done row by row, nothing is shuffled.
+No piece has a word mark after other characters, so the lattice falls apart at words. The forward pass alone
+tells the best path of a word and what the second one loses: the least loss of the second choices along the
+best path. The n best of a text differ from its best in at most n - 1 words, those that lose least, and only
+these are searched. Both are remembered by word. Everything is done row by row, nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -28,18 +29,32 @@ from pyspark.sql import DataFrame, functions as F
 from changetide.llm.common import map_arrow, slices, text_or_empty
 
 MARK = "▁"
-#: Words remembered by a worker, twice as many at most, and the longest.
-REMEMBERED, LONGEST = 250_000, 64
+#: Words remembered by a worker, twice as many at most, searched ones, and the longest.
+REMEMBERED, SEARCHED, LONGEST = 250_000, 50_000, 64
 #: A character without a piece is spelt in bytes, at this much below the lowest score.
 UNKNOWN = 10.0
 
 
 class Word(NamedTuple):
-    """Ids of the best segmentation, its score, and how much less the next ones score."""
+    """Ids of the best segmentation, its score, and how much less the second scores (infinite: there is none)."""
 
     ids: tuple[int, ...]
     score: float
-    losses: tuple[float, ...]
+    loss: float
+
+
+class Segmentation(NamedTuple):
+    """One of the best of a text: its score, and what it has in place of ids[start:end] of the best, by start."""
+
+    score: float
+    changes: tuple[tuple[int, int, tuple[int, ...]], ...]
+
+    def of(self, ids: list[int]) -> list[int]:
+        """All ids, from those of the best."""
+        whole = list(ids)
+        for start, end, other in reversed(self.changes):
+            whole[start:end] = other
+        return whole
 
 
 class Segmenter:
@@ -63,6 +78,7 @@ class Segmenter:
         self.spelling = [spelt.get(i) or self.model.id_to_piece(i).encode() for i in range(self.model.get_piece_size())]
         self.words: dict[str, Word] = {}
         self.older: dict[str, Word] = {}
+        self.searched: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
 
     def forward(self, word: str) -> list[list[tuple[float, int, int]]]:
@@ -136,50 +152,113 @@ class Segmenter:
             ids += [piece] if piece >= 0 else [self.bytes[b] for b in word[start:end].encode()]
         return ids
 
+    def viterbi(self, word: str) -> Word:
+        """The forward pass with the two best choices at each position only. Of equal ones the longer path before
+        the last piece is preferred, as in `forward`."""
+        begins, size, lowest = self.begins.get, len(word), self.lowest
+        none = float("-inf")
+        first, second = [none] * (size + 1), [none] * (size + 1)
+        start, pieces = [0] * (size + 1), [0] * (size + 1)
+        first[0] = 0.0
+        for i in range(size):
+            here, j = first[i], i + 1
+            found = begins(word[i:j], self)
+            score, piece = (lowest, -1) if found is None or found is self else found
+            while True:
+                if (total := here + score) >= first[j]:
+                    second[j], first[j], start[j], pieces[j] = first[j], total, i, piece
+                elif total > second[j]:
+                    second[j] = total
+                if found is self:
+                    break
+                found = None
+                while found is None and j < size:
+                    j += 1
+                    found = begins(word[i:j], self)
+                if found is None or found is self:
+                    break
+                score, piece = found
+        path, loss, at = [], float("inf"), size
+        while at:
+            loss = min(loss, first[at] - second[at])
+            path.append((start[at], at, pieces[at]))
+            at = start[at]
+        return Word(tuple(self.ids(word, path)), first[size], loss)
+
     def word(self, text: str) -> Word:
         found = self.words.get(text)
         if found is None:
-            found = self.older.get(text)
-            if found is None:
-                score, ranked = self.paths(text, self.best)
-                found = Word(tuple(self.ids(text, ranked[0][1])), score, tuple(loss for loss, _ in ranked[1:]))
+            found = self.older.get(text) or self.viterbi(text)
             if len(text) <= LONGEST:
                 if len(self.words) >= REMEMBERED:
                     self.older, self.words = self.words, {}
                 self.words[text] = found
         return found
 
+    def others(self, text: str) -> list[tuple[float, tuple[int, ...]]]:
+        """Loss and ids of the second and further segmentations of a word, as many as can be wanted."""
+        found = self.searched.get(text)
+        if found is None:
+            found = [(loss, tuple(self.ids(text, path))) for loss, path in self.paths(text, self.best)[1][1:]]
+            if len(text) <= LONGEST:
+                if len(self.searched) >= SEARCHED:
+                    self.searched = {}
+                self.searched[text] = found
+        return found
+
     def encode(self, text: str) -> tuple[list[int], list[float]]:
         """Ids of the best segmentation of a text, and the scores of the best ones."""
+        ids, ranked = self.n_best(text)
+        return ids, [one.score for one in ranked]
+
+    def n_best(self, text: str) -> tuple[list[int], list[Segmentation]]:
+        """Ids of the best segmentation of a text, and the best ones (or all), in order."""
         units = self.split(self.model.normalize(text))
         times = Counter(units)
         known, search = self.words.get, self.word
         found = {u: known(u) or search(u) for u in times}
         ids = list(chain.from_iterable([found[u].ids for u in units]))
         score = sum([found[u].score * n for u, n in times.items()])
-        # At most best - 1 places, those with the smallest first loss, can differ from the best path.
-        fewest = heapq.nsmallest(self.best - 1, [(w.losses, u) for u, w in found.items() if w.losses])
-        places = [losses for losses, u in fewest for _ in range(min(times[u], self.best - 1))][: self.best - 1]
-        totals = [0.0]
-        for losses in places:
-            totals = heapq.nsmallest(self.best, (t + x for t in totals for x in (0.0, *losses)))
-        return ids, [score - t for t in totals]
+        # At most best - 1 places, those with the smallest loss, can differ from the best path.
+        places: list[int] = []
+        for _, u in heapq.nsmallest(self.best - 1, [(w.loss, u) for u, w in found.items() if w.loss < float("inf")]):
+            at = -1
+            for _ in range(min(times[u], self.best - 1 - len(places))):
+                at = units.index(u, at + 1)
+                places.append(at)
+        ranked: list[tuple] = [(0.0, ())]
+        start = at = 0
+        for place in sorted(places):
+            start += sum([len(found[u].ids) for u in units[at:place]])
+            at, end = place, start + len(found[units[place]].ids)
+            more = [(0.0, ()), *((loss, ((start, end, other),)) for loss, other in self.others(units[place]))]
+            ranked = heapq.nsmallest(self.best, ((t + loss, changes + change) for t, changes in ranked for loss, change in more))
+        return ids, [Segmentation(score - t, changes) for t, changes in ranked]
+
+    def spelt(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.spelling.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
         """Pieces and bytes to text; the mark that encoding put in front goes."""
-        raw = b"".join(map(self.spelling.__getitem__, ids))
-        return raw.decode(errors="replace").replace(MARK, " ").removeprefix(" ")
+        return self.spelt(ids).decode(errors="replace").replace(MARK, " ").removeprefix(" ")
 
 
 def segment(
     docs: DataFrame, model: str, best: int = 3, with_ids: bool = False, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Per row: id, n_bytes, n_pieces, score, scores (of the `best` segmentations), ids_crc32, round_trip.
+    """Per row: id, n_bytes, n_pieces, score, scores, ids_crc32, round_trip, all_crc32, variants.
+
+    `score` and what precedes `all_crc32` are of the best segmentation; `scores` and `all_crc32` (as `ids_crc32`, of
+    all ids) have a value for each of the `best` ones (or all, if a text has fewer), in order. `variants` says
+    what they are: rank (from 2), start, length, ids; from `start` on, `length` ids of the best
+    segmentation give way to these. `with_ids` adds `ids`, those of the best, and `segmentations`, all ids of each.
+    `round_trip` says whether every one decodes to the text (a text with the word mark itself does not).
+    Segmentations are told apart by their ids, and equal scores come in order of the places they change.
 
-    `score` and the rest are of the best segmentation; `round_trip` says whether it decodes to the text
-    (a text with the word mark itself does not). With `with_ids` its ids come too. A null text is empty: no
-    pieces, score 0. Rows with null or repeated ids stay as they are; other columns are not read.
-    An empty table gives an empty result. The model file is small; its bytes go to the workers.
+    A null text is empty: no pieces, score 0, one segmentation. Rows with null or repeated ids stay as they
+    are; other columns are not read. An empty table gives an empty result. The model file is small; its bytes
+    go to the workers. Scores are the model's own: of a BPE model they are merge ranks, and the best path is
+    not what the library encodes.
     """
     with open(model, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -190,17 +269,31 @@ def segment(
         for batch in slices(batches, "text"):
             columns: dict[str, list] = {n: [] for n in names}
             for text in batch.column("text").to_pylist():
-                ids, scores = segmenter.encode(text)
-                crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-                values = (len(text.encode()), len(ids), scores[0], scores, crc, segmenter.decode(ids) == text, ids)
+                ids, found = segmenter.n_best(text)
+                raw = np.array(ids, "<u4").tobytes()
+                crcs, variants, alike = [], [], segmenter.decode(ids) == text
+                for rank, one in enumerate(found, 1):
+                    crc, at = 0, 0
+                    for start, end, other in one.changes:
+                        crc = zlib.crc32(np.array(other, "<u4").tobytes(), zlib.crc32(raw[4 * at : 4 * start], crc))
+                        at = end
+                        variants.append({"rank": rank, "start": start, "length": end - start, "ids": other})
+                        alike = alike and segmenter.spelt(other) == segmenter.spelt(ids[start:end])
+                    crcs.append(zlib.crc32(raw[4 * at :], crc))
+                scores = [one.score for one in found]
+                values = [len(text.encode()), len(ids), scores[0], scores, crcs[0], alike, crcs, variants]
+                values += [ids, [one.of(ids) for one in found]] if with_ids else []
                 for name, value in zip(names, values, strict=False):
                     columns[name].append(value)
             arrays = [pa.array(columns[n], kind) for n, kind in zip(names, kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", *names])
 
+    variant = pa.list_(pa.struct([("rank", pa.int32()), ("start", pa.int32()), ("length", pa.int32()), ("ids", pa.list_(pa.int32()))]))
     fields = ["n_bytes bigint", "n_pieces bigint", "score double", "scores array<double>", "ids_crc32 bigint", "round_trip boolean"]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
-    fields += ["ids array<int>"] if with_ids else []
+    fields += ["all_crc32 array<bigint>", "variants array<struct<rank: int, start: int, length: int, ids: array<int>>>"]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.bool_(), pa.list_(pa.int64()), variant]
+    kinds += [pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
+    fields += ["ids array<int>", "segmentations array<array<int>>"] if with_ids else []
     names = [f.split()[0] for f in fields]
     found = map_arrow(rows, work, f"id {rows.schema['id'].dataType.simpleString()}, {', '.join(fields)}")
     return found.withColumnRenamed("id", id_column)

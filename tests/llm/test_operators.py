@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import json
 import os
+import random
 import re
 import zlib
 
@@ -302,6 +303,76 @@ def test_n_best_against_all_paths(text):
     assert own.encode(text)[1] == every_path(own, own.model.normalize(text))[:5]
 
 
+def every_segmentation(own, text):
+    """Score and ids of all paths through the lattice."""
+    found = []
+
+    def go(at, score, ids):
+        if at == len(text):
+            found.append((score, tuple(ids)))
+        for end in range(at + 1, len(text) + 1):
+            if hit := own.scores.get(text[at:end]):
+                go(end, score + hit[0], [*ids, hit[1]])
+        if at < len(text) and text[at] not in own.scores:
+            go(at + 1, score + own.lowest, [*ids, *(own.bytes[b] for b in text[at].encode())])
+
+    go(0, 0.0, [])
+    return found
+
+
+@pytest.mark.parametrize("best", [1, 3, 7])
+def test_n_best_segmentations_against_all_paths(best):
+    """Ids and scores of random texts of repeated words; where scores tie, any of the tied ids will do."""
+    own, rng = segmenter(best), random.Random(best)
+    parts = ["the", "re", "an", "é", "Ⅳ", "x", "ing", " ", "a", "aa", "\n"]
+    for _ in range(150):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 6)))
+        text += " " + text if len(text) < 5 else ""
+        ids, ranked = own.n_best(text)
+        every = every_segmentation(own, own.model.normalize(text))
+        wanted = sorted((score for score, _ in every), reverse=True)[:best]
+        assert [one.score for one in ranked] == pytest.approx(wanted)
+        whole = [tuple(one.of(ids)) for one in ranked]
+        assert len(set(whole)) == len(whole) and whole[0] == tuple(ids)
+        scores = collections.defaultdict(list)
+        for score, path in every:
+            scores[path].append(score)
+        for one, path in zip(ranked, whole, strict=True):
+            assert one.score in [pytest.approx(x) for x in scores[path]]
+
+
+def test_first_loss_is_that_of_the_search():
+    own, rng = segmenter(4), random.Random(5)
+    for _ in range(400):
+        word = "▁" + "".join(rng.choices(["the", "tion", "é", "Ⅳ", "q", "ea", "a", "r"], k=rng.randint(0, 9)))
+        score, ranked = own.paths(word, 2)
+        fast = own.viterbi(word)
+        assert (fast.score, list(fast.ids)) == (score, own.ids(word, ranked[0][1]))
+        assert fast.loss == (ranked[1][0] if len(ranked) > 1 else float("inf"))
+
+
+def test_variants_give_all_segmentations(docs, spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = pieces.segment(docs, path, with_ids=True).collect()
+    for r in rows:
+        assert len(r.segmentations) == len(r.scores) == len(r.all_crc32) <= 3 and r.segmentations[0] == r.ids
+        assert [zlib.crc32(np.array(x, "<u4").tobytes()) for x in r.segmentations] == r.all_crc32
+        for rank, want in enumerate(r.segmentations, 1):
+            ids = list(r.ids)
+            for v in sorted((v for v in r.variants if v.rank == rank), key=lambda v: -v.start):
+                ids[v.start : v.start + v.length] = v.ids
+            assert ids == want
+    assert any(len(r.segmentations) == 3 for r in rows)
+
+
+def test_segments_of_a_very_long_text(spark):
+    long = "a" * 1_200_000 + " end"
+    table = spark.createDataFrame([(1, long), (2, None)], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in pieces.segment(table, public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert rows[1].round_trip and rows[1].n_bytes == len(long) and len(rows[1].scores) == 3
+    assert (rows[2].n_pieces, rows[2].all_crc32, rows[2].variants) == (0, [0], [])
+
+
 def test_sentencepiece_round_trip(docs, plain, spark):
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     path = public_tokenizers.path("piece_bpe_32k.model")
