@@ -16,7 +16,6 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -74,6 +73,14 @@ class Segmenter:
         self.lowest = min(s for s, _ in self.scores.values()) - UNKNOWN
         # Pieces by text, and None for texts that longer pieces begin with.
         self.begins = {p[:k]: None for p in self.scores for k in range(1, len(p))} | self.scores
+        # The same as a tree by character: children, score (None: no piece ends here), id.
+        self.trie: dict[str, list] = {}
+        for piece, (score, i) in self.scores.items():
+            children = self.trie
+            for character in piece:
+                node = children.setdefault(character, [{}, None, -1])
+                children = node[0]
+            node[1:] = score, i
         spelt = {i: bytes([b]) for b, i in self.bytes.items()}
         self.spelling = [spelt.get(i) or self.model.id_to_piece(i).encode() for i in range(self.model.get_piece_size())]
         self.words: dict[str, Word] = {}
@@ -155,29 +162,27 @@ class Segmenter:
     def viterbi(self, word: str) -> Word:
         """The forward pass with the two best choices at each position only. Of equal ones the longer path before
         the last piece is preferred, as in `forward`."""
-        begins, size, lowest = self.begins.get, len(word), self.lowest
-        none = float("-inf")
+        size, lowest, none = len(word), self.lowest, float("-inf")
         first, second = [none] * (size + 1), [none] * (size + 1)
         start, pieces = [0] * (size + 1), [0] * (size + 1)
         first[0] = 0.0
         for i in range(size):
             here, j = first[i], i + 1
-            found = begins(word[i:j], self)
-            score, piece = (lowest, -1) if found is None or found is self else found
+            node = self.trie.get(word[i])
+            score, piece = (lowest, -1) if node is None or node[1] is None else node[1:]
             while True:
-                if (total := here + score) >= first[j]:
-                    second[j], first[j], start[j], pieces[j] = first[j], total, i, piece
-                elif total > second[j]:
-                    second[j] = total
-                if found is self:
+                if score is not None:
+                    if (total := here + score) >= first[j]:
+                        second[j], first[j], start[j], pieces[j] = first[j], total, i, piece
+                    elif total > second[j]:
+                        second[j] = total
+                if node is None or j == size or not (children := node[0]):
                     break
-                found = None
-                while found is None and j < size:
-                    j += 1
-                    found = begins(word[i:j], self)
-                if found is None or found is self:
+                node = children.get(word[j])
+                if node is None:
                     break
-                score, piece = found
+                j += 1
+                _, score, piece = node
         path, loss, at = [], float("inf"), size
         while at:
             loss = min(loss, first[at] - second[at])
@@ -214,23 +219,22 @@ class Segmenter:
     def n_best(self, text: str) -> tuple[list[int], list[Segmentation]]:
         """Ids of the best segmentation of a text, and the best ones (or all), in order."""
         units = self.split(self.model.normalize(text))
-        times = Counter(units)
-        known, search = self.words.get, self.word
-        found = {u: known(u) or search(u) for u in times}
-        ids = list(chain.from_iterable([found[u].ids for u in units]))
-        score = sum([found[u].score * n for u, n in times.items()])
+        search = self.word
+        known = self.words.get
+        found = [known(u) or search(u) for u in units]
+        ids = list(chain.from_iterable([ids for ids, _, _ in found]))
+        score = sum([score for _, score, _ in found])
         # At most best - 1 places, those with the smallest loss, can differ from the best path.
+        losses = [loss for _, _, loss in found]
         places: list[int] = []
-        for _, u in heapq.nsmallest(self.best - 1, [(w.loss, u) for u, w in found.items() if w.loss < float("inf")]):
-            at = -1
-            for _ in range(min(times[u], self.best - 1 - len(places))):
-                at = units.index(u, at + 1)
-                places.append(at)
+        if least := sorted(losses)[: self.best - 1]:
+            near = [(loss, units[k], k) for k, loss in enumerate(losses) if loss <= least[-1] and loss < float("inf")]
+            places = [k for _, _, k in sorted(near)[: self.best - 1]]
         ranked: list[tuple] = [(0.0, ())]
         start = at = 0
         for place in sorted(places):
-            start += sum([len(found[u].ids) for u in units[at:place]])
-            at, end = place, start + len(found[units[place]].ids)
+            start += sum([len(word.ids) for word in found[at:place]])
+            at, end = place, start + len(found[place].ids)
             more = [(0.0, ()), *((loss, ((start, end, other),)) for loss, other in self.others(units[place]))]
             ranked = heapq.nsmallest(self.best, ((t + loss, changes + change) for t, changes in ranked for loss, change in more))
         return ids, [Segmentation(score - t, changes) for t, changes in ranked]
