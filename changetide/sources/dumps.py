@@ -15,23 +15,39 @@ FILES_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 _CHUNK_BYTES = 4 * 1024 * 1024
 _LINES_PER_BATCH = 20_000
 
+#: Files up to this size come through Spark's reader, as one value each; larger ones are opened in the task.
+WHOLE_BYTES = 256 * 1024 * 1024
+
 
 def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_PER_BATCH):
     """The function run by the Python workers: files in, lines out.
 
-    All it needs is inside, so it travels by value and executors need no copy of this package.
+    Files without a column `content` are opened by their paths and inflated as they are read: a task
+    holds a piece of the packed bytes and one of the text. All it needs is inside, so it travels by
+    value and executors need no copy of this package.
     """
     import gzip
     import io
+    from contextlib import closing
+    from urllib.parse import quote
 
     import pyarrow as pa
+    from pyarrow import fs
 
     position = pa.struct([("block", pa.int64()), ("seq", pa.int64())])
 
-    def lines_of(content):
-        # Only the packed bytes of a file are held as a whole.
-        source = pa.BufferReader(content)
-        packed = bytes(content[:2]) == b"\x1f\x8b"
+    def opened(path):
+        # Spark writes paths without escapes, Arrow reads URIs.
+        scheme, _, rest = path.partition(":")
+        if scheme == "file":
+            return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+        store, name = fs.FileSystem.from_uri(quote(path.replace("s3a:", "s3:", 1), safe=":/@"))
+        return store.open_input_file(name)
+
+    def lines_of(file):
+        packed = bytes(file.read_at(2, 0)) == b"\x1f\x8b" if file.size() else False
+        file.seek(0)
+        source = pa.BufferedInputStream(file, chunk_bytes)
         stream = io.BufferedReader(gzip.GzipFile(fileobj=source)) if packed else source
         tail = b""
         while chunk := stream.read(chunk_bytes):
@@ -42,7 +58,8 @@ def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_
 
     def read(batches):
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
+            whole = "content" in batch.schema.names
+            for row, path in enumerate(batch.column("path")):
                 seq = 0
                 # The mark of a file: also one without lines is seen.
                 yield pa.RecordBatch.from_arrays(
@@ -53,35 +70,40 @@ def _line_reader(chunk_bytes: int = _CHUNK_BYTES, lines_per_batch: int = _LINES_
                     ],
                     names=["path", "line_pos", "raw"],
                 )
-                for lines in lines_of(content.as_buffer()):
-                    for start in range(0, len(lines), lines_per_batch):
-                        part = lines[start : start + lines_per_batch]
-                        numbers = pa.array(range(seq, seq + len(part)), pa.int64())
-                        blocks = pa.array([0] * len(part), pa.int64())
-                        seq += len(part)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([path.as_py()] * len(part), pa.string()),
-                                pa.StructArray.from_arrays([blocks, numbers], fields=list(position)),
-                                pa.array(part, pa.binary()),
-                            ],
-                            names=["path", "line_pos", "raw"],
-                        )
+                # Only the packed bytes of a small file are held as a whole.
+                file = pa.BufferReader(batch.column("content")[row].as_buffer()) if whole else opened(path.as_py())
+                with closing(file):
+                    for lines in lines_of(file):
+                        for start in range(0, len(lines), lines_per_batch):
+                            part = lines[start : start + lines_per_batch]
+                            numbers = pa.array(range(seq, seq + len(part)), pa.int64())
+                            blocks = pa.array([0] * len(part), pa.int64())
+                            seq += len(part)
+                            yield pa.RecordBatch.from_arrays(
+                                [
+                                    pa.array([path.as_py()] * len(part), pa.string()),
+                                    pa.StructArray.from_arrays([blocks, numbers], fields=list(position)),
+                                    pa.array(part, pa.binary()),
+                                ],
+                                names=["path", "line_pos", "raw"],
+                            )
 
     return read
 
 
-def unpack_dumps(files: DataFrame, marks: bool = False) -> DataFrame:
+def unpack_dumps(files: DataFrame, marks: bool = False, by_path: bool = False) -> DataFrame:
     """`(path, content)` rows to `(path, line_pos, value)` rows, batch or streaming.
 
-    With `marks` each file also has a row without a value.
+    With `marks` each file also has a row without a value. With `by_path` the column `content` is
+    not looked at; tasks open the files themselves, in any store that Arrow knows.
 
     Spark's text reader picks the codec by file suffix and would take a closed dump for plain text,
     hence the one Python step. Files go to it in Arrow batches limited by
     `spark.sql.execution.arrow.maxBytesPerBatch`, so a task holds a few dumps at a time. One dump is
     one hour or half a million events at most.
     """
-    lines = files.select("path", "content").mapInArrow(_line_reader(), LINES_SCHEMA)
+    files = files.select("path") if by_path else files.select("path", "content")
+    lines = files.mapInArrow(_line_reader(), LINES_SCHEMA)
     if not marks:
         lines = lines.where(F.col("raw").isNotNull())
     return lines.select("path", "line_pos", F.col("raw").cast("string").alias("value"))
@@ -96,15 +118,21 @@ def list_dumps(spark: SparkSession, folder: str | list[str], glob: str | None =
     return files.select("path", base_name("path").alias("filename"), "modificationTime", "length")
 
 
-def read_dumps(spark: SparkSession, paths: str | list[str], glob: str | None = DUMP_GLOB) -> DataFrame:
+def read_dumps(
+    spark: SparkSession, paths: str | list[str], glob: str | None = DUMP_GLOB, whole_bytes: int = WHOLE_BYTES
+) -> DataFrame:
     """Every line of the dumps, readable or not: path, position in the file, text.
 
     `paths` are dump files or folders of them; `glob` keeps files still being written out of the way.
+    A value in Spark has 2 GiB at most, so files above `whole_bytes` are only listed and then read piece
+    by piece in the task: both filters on the length reach the scan, which opens no file they exclude.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return unpack_dumps(reader.load(paths))
+    files = reader.load(paths)
+    large = unpack_dumps(files.where(F.col("length") > whole_bytes), by_path=True)
+    return unpack_dumps(files.where(F.col("length") <= whole_bytes)).unionByName(large)
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], glob: str | None = DUMP_GLOB) -> DataFrame:

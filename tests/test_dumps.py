@@ -88,6 +88,53 @@ def test_line_reader_joins_lines_across_chunks():
         assert [v["seq"] for b in out for v in b.column("line_pos").to_pylist()] == [-1, 0, 1, 2, 3]
 
 
+def test_large_dumps_are_read_by_path(spark, write_dump, tmp_path):
+    """Files above the limit give the same lines, and their content is never one value."""
+    lines = [f"line {i} ä" for i in range(30_001)] + ["", "last"]
+    write_dump(GOOD, lines)
+    write_dump("stream_20251213T200500_000069.gz.ready", ["plain text", "of two lines"], packed=False)
+    write_dump("stream 20%41 ä.gz.ready", ["odd name"])
+    write_dump("empty.gz.ready", [], packed=False)
+    folder = str(tmp_path / "dumps")
+    want = rows_of(dumps.read_dumps(spark, folder, "*.ready").orderBy("path", "line_pos"))
+    assert len(want) == len(lines) + 3
+    for whole in (0, 100):
+        assert rows_of(dumps.read_dumps(spark, folder, "*.ready", whole).orderBy("path", "line_pos")) == want
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")  # stands for the 2 GiB of a value
+    try:
+        with pytest.raises(Exception, match="exceeds|max length|maxLength"):
+            dumps.read_dumps(spark, folder, "*.ready").count()
+        assert rows_of(dumps.read_dumps(spark, folder, "*.ready", 100).orderBy("path", "line_pos")) == want
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_memory_of_a_large_dump_is_that_of_a_piece(tmp_path):
+    import gzip
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    noise = random.Random(1)
+    file = tmp_path / "large.gz.ready"
+    with gzip.open(file, "wb", compresslevel=1) as out:
+        for _ in range(60):
+            out.write(noise.randbytes(100_000).hex().encode() + b"\n" + b"x" * 99 + b"\n")
+    assert file.stat().st_size > 5_000_000
+    batch = pa.RecordBatch.from_pydict({"path": [f"file:{file}"]})
+    reader = dumps._line_reader(chunk_bytes=1 << 16, lines_per_batch=10)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    held = count = 0
+    for part in reader([batch]):
+        count += part.num_rows
+        held = max(held, pa.total_allocated_bytes() - before)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 121 and peak < 3_000_000 and held < 3_000_000
+
+
 def test_text_dumps_agree_with_packed_ones(spark, write_dump, tmp_path):
     events = [change(i, dt=f"2025-12-13T18:{59 - i:02d}:00Z") for i in range(5)]
     write_dump("a.json", events, packed=False)
