@@ -12,10 +12,15 @@ into one task, and a sliding RANGE frame would add up its whole frame for every
 
 The peak needs less: per-tile counts bound the count of every window from both sides up to the
 events of one tile, so only the few tiles that can hold the peak are looked at closely.
+
+Counts per second can be kept (`second_counts`, added up by `merge_second_counts`): from them alone
+follows which seconds can hold the peak, and only the days around these are read again.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -169,6 +174,62 @@ def _peak(events: DataFrame, column: str, seconds: int, forward: bool) -> DataFr
     return counts.select(time.alias("u"), "c").orderBy(F.desc("c"), F.asc("u")).limit(1)
 
 
+def second_counts(events: DataFrame, column: str = "ts_event_meta_dt") -> DataFrame:
+    """Events per second of the epoch: `second`, `n`. Events without a time are left out."""
+    seconds = _times(events, column, forward=False).groupBy(F.col("tile").alias("second"))
+    return seconds.agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_second_counts(*counts: DataFrame) -> DataFrame:
+    """One set of counts per second from those of several loads, in any order."""
+    rows = functools.reduce(DataFrame.unionByName, counts)
+    return rows.groupBy("second").agg(F.sum("n").alias("n"))
+
+
+def peak_from_seconds(
+    counts: DataFrame,
+    events: DataFrame,
+    column: str = "ts_event_meta_dt",
+    seconds: int = BURST_SECONDS,
+    forward: bool = False,
+    day_column: str | None = None,
+) -> DataFrame:
+    """As `peak_burst`, or with `forward` as `peak_burst_forward`, by stored counts of the same events.
+
+    Counts may hold a second in several rows. Of `events` only those near seconds that can hold the
+    peak are looked at; with `day_column`, the day in the events' own text by which they are
+    stored, only those partitions are read: the days, one beside them, as an offset moves a time by less
+    than a day, and the partition of texts without a date.
+    """
+    sign = -1 if forward else 1
+    size = _checked_seconds(seconds)
+
+    def turned(value: Column) -> Column:
+        # Forward, time is mirrored at half a microsecond, so that whole seconds stay whole.
+        return -1 - value if forward else value
+
+    per_tile = counts.groupBy(turned(F.col("second")).alias("tile")).agg(F.sum("n").alias("n"))
+    bounds = _tile_windows(per_tile, size)
+    reached = bounds.agg(F.max("lower")).scalar()
+    candidates = bounds.where(F.col("upper") >= reached).select("tile")
+    # Blocks of `seconds` tiles: a window that ends in one begins there or in the one before.
+    block = _floor_div(F.col("tile"), size)
+    blocks = candidates.select(F.explode(F.array(block, block - 1)).alias("block")).distinct()
+    if day_column:
+        edge = [F.col("block") * size * sign, ((F.col("block") + 1) * size) * sign]
+        first, last = (F.to_date(F.timestamp_seconds(pick(*edge))) for pick in (F.least, F.greatest))
+        days = blocks.select(F.explode(F.sequence(F.date_sub(first, 1), F.date_add(last, 1))).alias("day")).distinct()
+        wanted = [r["day"] for r in days.collect()]  # one row a day
+        events = events.where(F.col(day_column).isin(wanted) | F.col(day_column).isNull())
+    times = _times(events, column, forward=False).select(turned(F.col("u")).alias("u"), turned(F.col("tile")).alias("tile"))
+    times = times.withColumn("block", _floor_div(F.col("tile"), size))
+    near = _distinct_counts(times.join(blocks, "block", "left_semi"))
+    exact = _exact_counts(near, bounds.join(candidates, "tile", "left_semi"), size)
+    peak = exact.select(turned(F.col("u")).alias("u"), "c").orderBy(F.desc("c"), F.asc("u")).limit(1)
+    names = ("t0", "len") if forward else ("window_end", "c")
+    return peak.select(_as_input(events, column, F.col("u")).alias(names[0]), F.col("c").alias(names[1]))
+
+
 def peak_burst(
     events: DataFrame, column: str = "ts_event_meta_dt", seconds: int = BURST_SECONDS
 ) -> DataFrame:

@@ -402,6 +402,8 @@ def oracle_sql() -> dict[str, str]:
         "peak_burst": f"{_BURSTS} SELECT window_end, c FROM b ORDER BY c DESC, window_end LIMIT 1",
         "burst_counts_forward": f"{_BURSTS} SELECT window_start, c FROM f",
         "peak_burst_forward": f"{_BURSTS} SELECT window_start AS t0, c AS len FROM f ORDER BY c DESC, t0 LIMIT 1",
+        "peak_burst_rollup": f"{_BURSTS} SELECT window_end, c FROM b ORDER BY c DESC, window_end LIMIT 1",
+        "peak_burst_forward_rollup": f"{_BURSTS} SELECT window_start AS t0, c AS len FROM f ORDER BY c DESC, t0 LIMIT 1",
         "stream_load": all_changes,
         "stream_dedup": f"{_RECEIVED} SELECT DISTINCT {_COLUMNS} FROM keyed",
         "dump_slices": f"""{_TABLE} SELECT event_meta_id, slice_start,

@@ -57,6 +57,7 @@ USER = "u7"
 
 _dump_folders: dict[tuple, str] = {}
 _stored_tables: dict[tuple, tuple[str, str]] = {}
+_second_tables: dict[tuple, str] = {}
 
 
 def _version(spark: SparkSession, folder: str) -> tuple:
@@ -585,6 +586,24 @@ def q_peak_burst_forward(spark, d):
     return bursts.peak_burst_forward(mapping.event_table(spark, d))
 
 
+def second_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per second of the stored table, written with the first query that asks for them."""
+    key = _version(spark, folder)
+    if key not in _second_tables:
+        out = scratch_dir(spark, "seconds")
+        bursts.second_counts(stored_table(spark, folder)).write.parquet(out)
+        _second_tables[key] = out
+    return spark.read.schema("second bigint, n bigint").parquet(_second_tables[key])
+
+
+def q_peak_burst_rollup(spark, d):
+    return bursts.peak_from_seconds(second_rollup(spark, d), stored_table(spark, d), day_column="event_date")
+
+
+def q_peak_burst_forward_rollup(spark, d):
+    return bursts.peak_from_seconds(second_rollup(spark, d), stored_table(spark, d), forward=True, day_column="event_date")
+
+
 # Streams
 
 

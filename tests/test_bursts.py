@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from changetide.operators import bursts
 from changetide.sources.epochs import read_epochs
@@ -86,3 +87,38 @@ def test_no_events(spark):
 def test_interval_is_checked(spark, seconds):
     with pytest.raises(ValueError):
         bursts.peak_burst(spark.sql("SELECT current_timestamp() AS ts"), "ts", seconds)
+
+
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("seed", range(4))
+def test_peak_from_merged_second_counts(spark, seed, forward):
+    """Counts of three loads out of order; negative times, ties, nulls and a crowded second."""
+    rng = random.Random(seed)
+    times = [rng.choice([rng.uniform(-3000, 3000), float(rng.randint(-20, 20) * 50), 7.5]) for _ in range(90)] + [None]
+    events = spark.createDataFrame([(t,) for t in times], "t double")
+    loads = [spark.createDataFrame([(t,) for t in times[k::3]], "t double") for k in (2, 0, 1)]
+    counts = bursts.merge_second_counts(*(bursts.second_counts(x, "t") for x in loads))
+    whole = (bursts.peak_burst_forward if forward else bursts.peak_burst)(events, "t", 60)
+    got = bursts.peak_from_seconds(counts, events, "t", 60, forward)
+    assert got.columns == whole.columns and rows_of(got) == rows_of(whole) and got.count() == 1
+
+
+@pytest.mark.parametrize("forward", [False, True])
+def test_peak_reads_only_days_of_candidate_seconds(spark, tmp_path, forward):
+    """A burst over midnight whose texts name the day before or after; other days are not scanned."""
+    quiet = [(f"2025-01-{d:02d} 12:00:00", f"2025-01-{d:02d}") for d in range(1, 29)]
+    burst = [("2025-01-14 23:59:50", "2025-01-15"), ("2025-01-15 00:00:10", "2025-01-14"), ("2025-01-15 00:01:00", None)]
+    rows = spark.createDataFrame(quiet + burst, "t string, day string")
+    events = rows.select(F.to_timestamp("t").alias("t"), F.to_date("day").alias("day"))
+    events.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    table = spark.read.schema("t timestamp, day date").parquet(str(tmp_path / "t"))
+    bursts.second_counts(table, "t").write.parquet(str(tmp_path / "counts"))
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    whole = rows_of((bursts.peak_burst_forward if forward else bursts.peak_burst)(table, "t", 120))
+    for file in (tmp_path / "t" / "day=2025-01-20").glob("*.parquet"):
+        file.write_bytes(b"cannot be read")
+    table = spark.read.schema("t timestamp, day date").parquet(str(tmp_path / "t"))
+    got = bursts.peak_from_seconds(counts, table, "t", 120, forward, day_column="day")
+    assert rows_of(got) == whole and whole[0][1] == 3
+    empty = table.limit(0)
+    assert bursts.peak_from_seconds(bursts.second_counts(empty, "t"), empty, "t", 120, forward, "day").count() == 0
