@@ -5,8 +5,8 @@ Texts lie in chunks of a few MiB that are written once; then
 
 1. Cover sample. D is a difference cover modulo v: for any two positions some shift below v brings both
    onto D. So two equal strings of `match` bytes have, at one shift, equal windows of
-   match - v + 1 bytes at sampled positions; only |D| of v positions are sampled. Hashes of the
-   windows are sorted, each bucket of their space alone, and windows found twice stay: a filter.
+   match - v + 1 bytes at sampled positions; only |D| of v positions are sampled. Hashes of a chunk's
+   distinct windows are sorted, each bucket of their space alone, and windows found twice stay: a filter.
 2. Strings. Only positions with such a window ahead can start a repeat. They go, by a hash of the whole
    string, to buckets, each sorted alone by hash, id and place; all but the first of equal strings
    are repeats.
@@ -36,7 +36,7 @@ from changetide.llm.common import map_arrow, ship, stored, text_or_empty
 #: A difference set; every difference modulo 57 occurs among its elements.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 CHUNK = 1_000_000
-#: Sampled windows of a bucket, about.
+#: Sampled windows, or strings, of a bucket, about.
 BUCKET = 1 << 20
 _LAST = np.iinfo(np.int64).max
 
@@ -91,14 +91,19 @@ class Chunk:
         change[self.ends[long] - width + 1] -= 1
         return np.cumsum(change[:-1], dtype=np.int8) > 0
 
-    def sampled(self, match: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of the cover whose window stays in its text, and keys of the windows, by bucket."""
+    def sampled(self, match: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions of the cover whose window stays in its text, in order of their keys (the bucket's bits and 32
+        more); the distinct keys, and where the positions of each begin."""
         width = match - PERIOD + 1
         rows = np.arange(0, len(self.data), PERIOD)[:, None] + np.array(COVER)
         at = rows.ravel()
         at = at[at < len(self.data)]
         at = at[self.fitting(width)[at]]
-        return by_bucket(at, Windows(self.data, 1)(at, width), bits)
+        keys = Windows(self.data, 1)(at, width) >> np.uint64(32 - bits)
+        order = np.argsort(keys)
+        keys = keys[order]
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        return at[order], keys[begins], begins
 
     def candidates(self, live: np.ndarray, match: int) -> np.ndarray:
         """Positions that have a live window within the shift, and a whole string ahead of them."""
@@ -133,10 +138,10 @@ def by_bucket(at: np.ndarray, keys: np.ndarray, bits: int) -> tuple[np.ndarray,
     return at[order], keys[order]
 
 
-def segments(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    """Bucket, start and end of the runs of keys with equal highest bits."""
+def segments(keys: np.ndarray, shift: int) -> Iterator[tuple[int, int, int]]:
+    """Bucket, start and end of the runs of keys that are equal but for their `shift` lowest bits."""
     if len(keys):
-        buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
+        buckets = (keys >> np.uint64(shift)).astype(np.int64)
         edges = np.flatnonzero(np.diff(buckets, prepend=-1))
         yield from zip(buckets[edges].tolist(), edges.tolist(), [*edges[1:].tolist(), len(keys)], strict=True)
 
@@ -149,10 +154,16 @@ def unpacked(data: bytes, size: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=size).astype(bool)
 
 
+def bucket_bits(n: int, size: int) -> int:
+    """Bits that tell apart enough buckets for n keys, at most about `size` a bucket."""
+    return max(3, (n // size).bit_length())
+
+
 def chunk_texts(texts: DataFrame, most: int) -> DataFrame:
-    """Rows (id, text, rest) gathered into chunks: chunk, ids, sizes, data, rest.
+    """Rows (id, text, rest) gathered into chunks: chunk, n_bytes, ids, sizes, data, rest.
 
-    `ids` and `sizes` are packed numbers, `rest` the other columns as an Arrow table in the same order.
+    `ids` and `sizes` are packed numbers, `data` packed text, `n_bytes` its size before packing, `rest` the other
+    columns as an Arrow table in the same order. A text is never split: a longer one than `most` is a chunk.
     """
 
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,9 +181,11 @@ def chunk_texts(texts: DataFrame, most: int) -> DataFrame:
                 writer.write_table(rest)
             ids = whole.column("_order").to_numpy().astype(np.int64).tobytes()
             sizes = np.array([len(d) for d in data], np.int64).tobytes()
-            row = [[number], [ids], [sizes], [pa.compress(b"".join(data), "zstd", asbytes=True)], [sink.getvalue().to_pybytes()]]
-            kinds = [pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], ["chunk", "ids", "sizes", "data", "rest"])
+            data = b"".join(data)
+            row = [[number], [len(data)], [ids], [sizes], [pa.compress(data, "zstd", asbytes=True)], [sink.getvalue().to_pybytes()]]
+            kinds = [pa.int64()] * 2 + [pa.binary()] * 4
+            names = ["chunk", "n_bytes", "ids", "sizes", "data", "rest"]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names)
 
         for batch in batches:
             start = 0
@@ -187,7 +200,7 @@ def chunk_texts(texts: DataFrame, most: int) -> DataFrame:
         if waiting:
             yield emit()
 
-    return map_arrow(texts, gather, "chunk bigint, ids binary, sizes binary, data binary, rest binary")
+    return map_arrow(texts, gather, "chunk bigint, n_bytes bigint, ids binary, sizes binary, data binary, rest binary")
 
 
 def chunk_of(row: dict) -> Chunk:
@@ -197,32 +210,35 @@ def chunk_of(row: dict) -> Chunk:
 
 
 def sample_blobs(chunks: DataFrame, match: int, bits: int) -> DataFrame:
-    """Sampled windows by bucket: chunk, bucket, keys (the 32 bits after the bucket's)."""
+    """Distinct sampled windows of each chunk by bucket: chunk, bucket, keys (the 32 bits after the bucket's, in
+    order), twice (whether the chunk has them more than once)."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1).to_pylist()[0]
-                _, keys = chunk_of(one).sampled(match, bits)
-                low = (keys >> np.uint64(32 - bits)).astype(np.uint32)
-                parts = list(segments(keys, bits))
+                at, keys, begins = chunk_of(one).sampled(match, bits)
+                low, twice = keys.astype(np.uint32), np.diff(np.append(begins, len(at))) > 1
+                parts = list(segments(keys, 32))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "chunk": pa.array([one["chunk"]] * len(parts), pa.int64()),
                         "bucket": pa.array([b for b, _, _ in parts], pa.int64()),
                         "keys": pa.array([low[i:j].tobytes() for _, i, j in parts], pa.binary()),
+                        "twice": pa.array([packed(twice[i:j]) for _, i, j in parts], pa.binary()),
                     }
                 )
 
-    return map_arrow(chunks.select("chunk", "ids", "sizes", "data"), work, "chunk bigint, bucket bigint, keys binary")
+    return map_arrow(chunks.select("chunk", "ids", "sizes", "data"), work, "chunk bigint, bucket bigint, keys binary, twice binary")
 
 
-def rank_bucket(blobs: pa.Table) -> pa.Table:
-    """Which windows of a bucket are there twice: chunk, bucket, kind 1, flags."""
+def repeated_windows(blobs: pa.Table) -> pa.Table:
+    """Which windows of a bucket are there twice, in one chunk or in several: kind 1."""
     keys = [np.frombuffer(k, np.uint32) for k in blobs.column("keys").to_pylist()]
+    twice = [unpacked(t, len(k)) for t, k in zip(blobs.column("twice").to_pylist(), keys, strict=True)]
     ordered = np.sort(np.concatenate(keys))
     live = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    return answer(blobs, 1, [packed(is_among(k, live)) for k in keys])
+    return answer(blobs, 1, [t | is_among(k, live) for t, k in zip(twice, keys, strict=True)])
 
 
 def is_among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -231,9 +247,12 @@ def is_among(keys: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, keys), len(ordered) - 1)] == keys
 
 
-def answer(blobs: pa.Table, kind: int, flags: list[bytes]) -> pa.Table:
+def answer(blobs: pa.Table, kind: int, flags: list[np.ndarray]) -> pa.Table:
+    """Chunk, bucket, kind, flags as bits, and how many of them are set."""
     kinds = pa.array([kind] * blobs.num_rows, pa.int32())
-    return pa.table([blobs.column("chunk"), blobs.column("bucket"), kinds, pa.array(flags, pa.binary())], ["chunk", "bucket", "kind", "flags"])
+    bits = pa.array([packed(f) for f in flags], pa.binary())
+    n_set = pa.array([int(f.sum()) for f in flags], pa.int64())
+    return pa.table([blobs.column("chunk"), blobs.column("bucket"), kinds, bits, n_set], ["chunk", "bucket", "kind", "flags", "n_set"])
 
 
 def flags_of(answers: pa.Table, kind: int) -> list[bytes]:
@@ -242,33 +261,34 @@ def flags_of(answers: pa.Table, kind: int) -> list[bytes]:
     return [f for _, f in rows]
 
 
-def joined_flags(pieces: list[bytes], keys: np.ndarray, bits: int) -> np.ndarray:
+def joined_flags(pieces: list[bytes], keys: np.ndarray, shift: int) -> np.ndarray:
     """One flag per key from the pieces of its buckets."""
-    parts = [unpacked(piece, j - i) for piece, (_, i, j) in zip(pieces, segments(keys, bits), strict=True)]
+    parts = [unpacked(piece, j - i) for piece, (_, i, j) in zip(pieces, segments(keys, shift), strict=True)]
     return np.concatenate(parts) if parts else np.zeros(0, bool)
 
 
 def find_candidates(chunk: Chunk, answers: pa.Table, match: int, bits: int) -> np.ndarray:
-    at, keys = chunk.sampled(match, bits)
-    return chunk.candidates(at[joined_flags(flags_of(answers, 1), keys, bits)], match)
+    at, keys, begins = chunk.sampled(match, bits)
+    live = joined_flags(flags_of(answers, 1), keys, 32)
+    return chunk.candidates(at[np.repeat(live, np.diff(np.append(begins, len(at))))], match)
 
 
-def suffix_blobs(match: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """For a chunk and its ranked sample: its distinct candidate strings by bucket, in order of their texts' ids.
+def string_blobs(match: int, sample_bits: int, bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For a chunk and its sample's answers: its distinct candidate strings by bucket, in order of their texts' ids.
 
-    Keys have 64 bits after the bucket's and eight more: 80 bits with the 256 buckets of 250 GB.
+    Keys have 64 bits after the bucket's and eight more: 80 bits with 256 buckets, which a GB may need.
     """
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         columns: dict[str, list] = {n: [] for n in ("chunk", "bucket", "keys", "checks", "owners")}
         for one in left.to_pylist():
             chunk = chunk_of(one)
-            at = find_candidates(chunk, right, match, bits)
+            at = find_candidates(chunk, right, match, sample_bits)
             if len(at):
                 at, keys, low, checks, first = chunk.strings(at, match, bits)
                 at, keys, low, checks = at[first], keys[first], low[first], checks[first]
                 owners = chunk.ids[np.searchsorted(chunk.ends, at, side="right")]
-                for bucket, i, j in segments(keys, bits):
+                for bucket, i, j in segments(keys, 64 - bits):
                     values = (one["chunk"], bucket, low[i:j].tobytes(), checks[i:j].tobytes(), owner_bytes(owners[i:j]))
                     for name, value in zip(columns, values, strict=True):
                         columns[name].append(value)
@@ -291,7 +311,7 @@ def owners_from(data: bytes) -> np.ndarray:
 
 
 def sort_bucket(blobs: pa.Table) -> pa.Table:
-    """Sort the strings of a suffix bucket; all but the first of equal ones are repeats: kind 2.
+    """Sort the strings of a bucket by their hashes; all but the first of equal ones are repeats: kind 2.
 
     In a chunk strings come in order, so of equal ids the earlier chunk's, then the earlier one, is first.
     """
@@ -313,10 +333,10 @@ def sort_bucket(blobs: pa.Table) -> pa.Table:
     first = smallest[np.append(True, group[smallest[1:]] != group[smallest[:-1]])]
     repeat = np.ones(len(whole), bool)
     repeat[order[first]] = False
-    return answer(blobs, 2, [packed(r) for r in np.split(repeat, np.cumsum([len(k) for k in keys])[:-1])])
+    return answer(blobs, 2, np.split(repeat, np.cumsum([len(k) for k in keys])[:-1]))
 
 
-def cut_chunk(match: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def cut_chunk(match: int, sample_bits: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """For a chunk and all answers: the other columns, n_bytes, n_removed, n_spans, kept."""
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -324,11 +344,11 @@ def cut_chunk(match: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table
         for one in left.to_pylist():
             chunk = chunk_of(one)
             repeats = np.zeros(0, np.int64)
-            at = find_candidates(chunk, right, match, bits)
+            at = find_candidates(chunk, right, match, sample_bits)
             if len(at):
                 at, keys, _, _, first = chunk.strings(at, match, bits)
                 again = ~first
-                again[first] = joined_flags(flags_of(right, 2), keys[first], bits)
+                again[first] = joined_flags(flags_of(right, 2), keys[first], 64 - bits)
                 repeats = at[again]
             removed = chunk.removed(repeats, match)
             kept = (chunk.data[i:j][~removed[i:j]].tobytes() for i, j in zip(chunk.starts, chunk.ends, strict=True))
@@ -377,20 +397,21 @@ def remove_repeats(
     firsts, _ = stored(named.groupBy("key").agg(F.min("id").alias("first")), "firsts")
     placed = named.join(firsts, "key")
     chunks, _ = stored(chunk_texts(placed.where(F.col("id") == F.col("first")).select("id", "text", "rest"), chunk_bytes), "chunks")
-    sampled = (chunks.agg(F.sum(F.octet_length("data"))).first()[0] or 0) * len(COVER) // PERIOD
-    bits = max(3, int(sampled // bucket_size).bit_length())
+    bits = bucket_bits((chunks.agg(F.sum("n_bytes")).first()[0] or 0) * len(COVER) // PERIOD, bucket_size)
 
-    ranked = sample_blobs(chunks, match, bits).groupBy("bucket").applyInArrow(rank_bucket, ANSWER)
-    ranked, _ = stored(ranked, "ranks")
+    found = sample_blobs(chunks, match, bits).groupBy("bucket").applyInArrow(repeated_windows, ANSWER)
+    found, _ = stored(found, "windows")
+    # Along a repeat, |D| of v positions are sampled and all of them are candidates.
+    more = bucket_bits((found.agg(F.sum("n_set")).first()[0] or 0) * PERIOD // len(COVER), bucket_size)
     by_chunk = chunks.groupBy("chunk")
-    strings = by_chunk.cogroup(ranked.groupBy("chunk")).applyInArrow(
-        suffix_blobs(match, bits), "chunk bigint, bucket bigint, keys binary, checks binary, owners binary"
+    strings = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(
+        string_blobs(match, bits, more), "chunk bigint, bucket bigint, keys binary, checks binary, owners binary"
     )
     repeats, _ = stored(strings.groupBy("bucket").applyInArrow(sort_bucket, ANSWER), "repeats")
     rest_schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
     kind = "string" if as_text else "binary"
-    cut = by_chunk.cogroup(ranked.unionByName(repeats).groupBy("chunk")).applyInArrow(
-        cut_chunk(match, bits, as_text), f"{rest_schema}, _n_bytes bigint, _n_removed bigint, _n_spans bigint, _kept {kind}"
+    cut = by_chunk.cogroup(found.unionByName(repeats).groupBy("chunk")).applyInArrow(
+        cut_chunk(match, bits, more, as_text), f"{rest_schema}, _n_bytes bigint, _n_removed bigint, _n_spans bigint, _kept {kind}"
     )
     copies = placed.where(F.col("id") != F.col("first")).withColumn("_n_bytes", F.octet_length("text").cast("long"))
     gone = F.col("_n_bytes") >= match
@@ -404,7 +425,7 @@ def remove_repeats(
     return cut.unionByName(copies)
 
 
-ANSWER = "chunk bigint, bucket bigint, kind int, flags binary"
+ANSWER = "chunk bigint, bucket bigint, kind int, flags binary, n_set bigint"
 
 
 def repeat_spans(docs: DataFrame, match: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -144,6 +144,28 @@ def test_keys_find_every_pair_within_four_bits():
         assert any(s & 1 and found[1][row].get(k, 0) & 2 for k, s in found[0][row].items())
 
 
+@pytest.mark.parametrize("centre", [0, 0x9E37_79B9_7F4A_7C15])
+def test_keys_meet_at_every_pattern_of_four_bits(centre):
+    """All 679,121 fingerprints within four bits share a key with the centre, on opposite sides."""
+    patterns = [sum(1 << b for b in bits) for n in range(5) for bits in itertools.combinations(range(64), n)]
+    around = np.array(patterns, np.uint64) ^ np.uint64(centre)
+    _, keys, sides = simhash.bucket_keys(np.array([centre], np.uint64).view(np.int64))
+    own = collections.Counter()
+    for key, side in zip(keys.tolist(), sides.tolist(), strict=True):
+        own[key] |= side
+    known = np.array(sorted(own))
+    of_known = np.array([own[k] for k in known.tolist()])
+    met = np.zeros((2, len(around)), bool)
+    for at in range(0, len(around), 100_000):
+        rows, keys, sides = simhash.bucket_keys(around[at : at + 100_000].view(np.int64))
+        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        same = known[place] == keys
+        rows, sides, other = rows[same] + at, sides[same], of_known[place[same]]
+        met[0, rows[(other & 1 > 0) & (sides & 2 > 0)]] = True
+        met[1, rows[(other & 2 > 0) & (sides & 1 > 0)]] = True
+    assert met.all()
+
+
 def test_a_crowd_of_near_copies_is_one_class(spark):
     """Fingerprints around a centre and a far one: one class without a row for each pair."""
     centre = 0x0F0F_3355_1234_7777
@@ -579,6 +601,18 @@ def test_repeats_of_random_texts(spark):
     assert got == want
 
 
+def test_repeats_in_very_long_texts(spark):
+    """Runs and short periods put their windows into few buckets; a chunk sends each of them once."""
+    rows = [(1, "a" * 1_500_000), (2, "ab" * 600_000 + "c"), (3, "b" + "a" * 99), (4, "c" + "ab" * 60), (5, "")]
+    got = {r.doc_id: (r._n_removed, bytes(r._kept).decode()) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket_size=64).collect()}
+    assert got[1] == (1_500_000 - 1, "a")
+    assert got[2] == (1_200_000 - 2, "abc")
+    assert got[3] == (0, rows[2][1]) and got[4] == (120, "c") and got[5] == (0, "")
+    chunk = repeats.Chunk(np.full(1_500_000, 97, np.uint8), np.array([1]), np.array([1_500_000]))
+    at, keys, _ = chunk.sampled(100, 8)
+    assert len(keys) == 1 and len(at) > 200_000
+
+
 def test_cut_documents_keep_their_columns(docs, spark):
     cut = repeats.cut_documents(docs)
     assert cut.columns == docs.columns and cut.count() == docs.count()
