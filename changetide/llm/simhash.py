@@ -2,13 +2,15 @@
 
 A 64-bit fingerprint is cut into segments of 22, 21 and 21 bits, each a word of the perfect (23, 12)
 Golay code's space (short ones padded with zeros). Of at most four differing bits, by pigeonhole,
-either two segments differ in at most one bit each, or one segment is equal and each of the others
-differs in at most two. A word and a neighbour at one bit: the code word nearest to the one is
-within four bits of the other. Words at two bits: the code word nearest to the word between them
-is within four bits of both. So with `near` code words (within four bits; six at most) as keys
+either one segment is equal and another differs in at most two, or two segments differ in one bit each
+and the third, z, in at most two. Of z cut into three parts, one is equal then. A word and a neighbour
+at one bit: the code word nearest to the one is within four bits of the other. Words at two bits: the
+code word nearest to the word between them is within four bits of both. So with `near` code words
+(within four bits; six at most) as keys
 
-* two segments (x, y): one side has (nearest x, near y), the other (near x, nearest y);
-* one equal segment x and its follower y: both sides have (x itself, near y)
+* two segments (x, y) and a part of the third: one side has (nearest x, near y, part), the other
+  (near x, nearest y, part): 31 or 32 bits;
+* one equal segment x and another y: both sides have (x itself, near y): 33 or 34 bits
 
 share a key for every pair that has to be found; each candidate's distance is then checked.
 """
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import cache
-from itertools import combinations, repeat
+from itertools import combinations, permutations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ from changetide.llm.linking import linked_classes
 GENERATOR, LENGTH, CHECKS = 0xC75, 23, 11
 #: First bit and width of each segment of a fingerprint.
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
+#: First bit and width of the parts of a third segment; the last of 22 bits is wider.
+PARTS = ((0, 7), (7, 7), (14, 8))
 MAX_BITS = 4
 _AT_ONCE = 1 << 16
 
@@ -83,18 +87,25 @@ def bucket_keys(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
         keys.append(key)
         sides.append(np.full(len(row), side, np.int8))
 
-    for number, (x, y) in enumerate(combinations(range(3), 2)):
+    number = 0
+    for x, y, z in ((0, 1, 2), (0, 2, 1), (1, 2, 0)):
+        row_y, place_y = np.nonzero(more[y])
+        row_x, place_x = np.nonzero(more[x])
+        both = near[x][:, 0] << 12 | near[y][:, 0]
+        first = near[x][row_y, 0] << 12 | near[y][row_y, place_y + 1]
+        second = near[x][row_x, place_x + 1] << 12 | near[y][row_x, 0]
+        for at, width in PARTS:
+            base, part = number << 40, (parts[z] >> at & (1 << width) - 1) << 24
+            add(all_rows, base | part | both, 3)
+            add(row_y, base | part[row_y] | first, 1)
+            add(row_x, base | part[row_x] | second, 2)
+            number += 1
+    for x, y in permutations(range(3), 2):
         base = number << 40
-        add(all_rows, base | near[x][:, 0] << 12 | near[y][:, 0], 3)
-        row, place = np.nonzero(more[y])
-        add(row, base | near[x][row, 0] << 12 | near[y][row, place + 1], 1)
-        row, place = np.nonzero(more[x])
-        add(row, base | near[x][row, place + 1] << 12 | near[y][row, 0], 2)
-    for x in range(3):
-        y, base = (x + 1) % 3, (3 + x) << 40
         add(all_rows, base | parts[x] << 12 | near[y][:, 0], 3)
         row, place = np.nonzero(more[y])
         add(row, base | parts[x][row] << 12 | near[y][row, place + 1], 3)
+        number += 1
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(sides)
 
 
