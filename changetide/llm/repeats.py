@@ -22,9 +22,10 @@ Exact copies of a text never enter: all of their strings start earlier.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from changetide.llm.common import map_arrow, ship, stored, text_or_empty
 #: A difference set; every difference modulo 57 occurs among its elements.
 PERIOD, COVER = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 CHUNK = 1_000_000
-#: Sampled windows, or strings, of a bucket, about.
-BUCKET = 1 << 20
+#: Sampled windows, or strings, of a bucket, about; strings of it that are sorted at once.
+BUCKET, SORTED = 1 << 20, 1 << 18
 _LAST = np.iinfo(np.int64).max
 
 
@@ -49,23 +50,30 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 @cache
-def powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A random value per byte, and the powers of an odd number and of its inverse, modulo 2^64."""
-    start = mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-    base = int(start[256]) | 1
+def letters(seed: int) -> np.ndarray:
+    """A random value per byte, and one more."""
+    return mixed(np.arange(1, 258, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+
+
+@lru_cache(maxsize=1)
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of an odd number and of its inverse, modulo 2^64. A worker keeps one pair, of 16 MB for a usual chunk;
+    what tells the seeds apart are their letters."""
+    base = int(letters(1)[256]) | 1
     up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
     up[:1] = down[:1] = 1
-    return start[:256], np.cumprod(up), np.cumprod(down)
+    return np.cumprod(up, out=up), np.cumprod(down, out=down)
 
 
 class Windows:
     """Hashes of the windows of some bytes."""
 
     def __init__(self, data: np.ndarray, seed: int):
-        size = 1 << max(16, int(len(data)).bit_length())
-        letters, up, self.down = powers(seed, size)
+        up, self.down = powers((len(data) >> 16) + 1 << 16)
+        values = letters(seed)[data]
+        values *= up[: len(data)]
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(letters[data] * up[: len(data)], out=self.sums[1:])
+        np.cumsum(values, out=self.sums[1:])
 
     def __call__(self, at: np.ndarray, width: int) -> np.ndarray:
         return mixed((self.sums[at + width] - self.sums[at]) * self.down[at])
@@ -112,7 +120,7 @@ class Chunk:
         text = np.searchsorted(self.ends, live, side="right")
         np.add.at(change, np.maximum(self.starts[text], live - PERIOD + 1), 1)
         change[live + 1] -= 1
-        return np.flatnonzero((np.cumsum(change[:-1]) > 0) & self.fitting(match))
+        return np.flatnonzero((np.cumsum(change[:-1], dtype=np.int32) > 0) & self.fitting(match))
 
     def strings(self, at: np.ndarray, match: int, bits: int) -> tuple[np.ndarray, ...]:
         """Candidates by bucket; keys of their strings, and 64 and eight bits after the bucket's; which are the
@@ -129,7 +137,7 @@ class Chunk:
         change = np.zeros(len(self.data) + 1, np.int32)
         change[repeats] += 1
         change[repeats + match] -= 1
-        return np.cumsum(change[:-1]) > 0
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 def by_bucket(at: np.ndarray, keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +242,10 @@ def sample_blobs(chunks: DataFrame, match: int, bits: int) -> DataFrame:
 
 def repeated_windows(blobs: pa.Table) -> pa.Table:
     """Which windows of a bucket are there twice, in one chunk or in several: kind 1."""
-    keys = [np.frombuffer(k, np.uint32) for k in blobs.column("keys").to_pylist()]
+    keys = arrays_of(blobs.column("keys"), range(blobs.num_rows), np.uint32)
     twice = [unpacked(t, len(k)) for t, k in zip(blobs.column("twice").to_pylist(), keys, strict=True)]
-    ordered = np.sort(np.concatenate(keys))
+    ordered = np.concatenate(keys)
+    ordered.sort()
     live = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     return answer(blobs, 1, [t | is_among(k, live) for t, k in zip(twice, keys, strict=True)])
 
@@ -305,35 +314,52 @@ def owner_bytes(owners: np.ndarray) -> bytes:
     return np.stack([owners[starts], np.diff(np.append(starts, len(owners)))]).tobytes()
 
 
-def owners_from(data: bytes) -> np.ndarray:
-    ids, times = np.frombuffer(data, np.int64).reshape(2, -1)
-    return np.repeat(ids, times)
+def arrays_of(column: pa.ChunkedArray, rows: Iterable[int], kind: type) -> list[np.ndarray]:
+    """Packed numbers of some rows, in that order, where Arrow has them."""
+    return [np.frombuffer(column[row].as_buffer(), kind) for row in rows]
 
 
-def sort_bucket(blobs: pa.Table) -> pa.Table:
+def sort_bucket(blobs: pa.Table, most: int = SORTED) -> pa.Table:
     """Sort the strings of a bucket by their hashes; all but the first of equal ones are repeats: kind 2.
 
-    In a chunk strings come in order, so of equal ids the earlier chunk's, then the earlier one, is first.
+    In a chunk strings come in order, so of equal ids the earlier chunk's, then the earlier one, is first. Strings are
+    taken apart by the highest bits of their hashes and sorted about `most` at a time, so that only their hashes and
+    flags, and runs of owners, are there of a whole bucket.
     """
-    blobs = blobs.sort_by("chunk")
-    keys = [np.frombuffer(k, np.uint64) for k in blobs.column("keys").to_pylist()]
-    checks = np.concatenate([np.frombuffer(c, np.uint8) for c in blobs.column("checks").to_pylist()])
-    owners = np.concatenate([owners_from(o) for o in blobs.column("owners").to_pylist()])
-    whole = np.concatenate(keys)
-    order = np.argsort(whole, kind="stable")
-    new_key = np.append(True, whole[order[1:]] != whole[order[:-1]])
-    new = new_key | np.append(True, checks[order[1:]] != checks[order[:-1]])
+    rows = np.argsort(blobs.column("chunk").to_numpy(), kind="stable").tolist()
+    keys = np.concatenate(found := arrays_of(blobs.column("keys"), rows, np.uint64))
+    ends = np.cumsum([len(k) for k in found])
+    del found
+    checks = np.concatenate(arrays_of(blobs.column("checks"), rows, np.uint8))
+    runs = [o.reshape(2, -1) for o in arrays_of(blobs.column("owners"), rows, np.int64)]
+    owners, until = np.concatenate([o[0] for o in runs]), np.cumsum(np.concatenate([o[1] for o in runs]))
+    repeat = np.ones(len(keys), bool)
+    high = keys.view(np.uint8)[7::8] if sys.byteorder == "little" else keys.view(np.uint8)[::8]
+    bits = min(8, (len(keys) // most).bit_length())
+    part = high >> (8 - bits) if bits else np.zeros(len(keys), np.uint8)
+    for number in range(1 << bits):
+        at = np.flatnonzero(part == number)
+        if len(at):
+            repeat[at[first_ones(keys[at], checks[at], owners[np.searchsorted(until, at, side="right")])]] = False
+    flags = np.split(repeat, ends[:-1])
+    return answer(blobs.select(["chunk", "bucket"]).take(rows), 2, flags)
+
+
+def first_ones(keys: np.ndarray, checks: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Of the strings that have equal keys and checks, the first of the smallest owner."""
+    order = np.argsort(keys, kind="stable")
+    ordered, checked = keys[order], checks[order]
+    new_key = np.append(True, ordered[1:] != ordered[:-1])
+    new = new_key | np.append(True, checked[1:] != checked[:-1])
     if (new & ~new_key).any():  # different strings under one key
-        order = np.lexsort((checks, whole))
-        new = np.append(True, (whole[order[1:]] != whole[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]]))
+        order = np.lexsort((checks, keys))
+        ordered, checked = keys[order], checks[order]
+        new = np.append(True, (ordered[1:] != ordered[:-1]) | (checked[1:] != checked[:-1]))
     starts, owned = np.flatnonzero(new), owners[order]
     least = np.repeat(np.minimum.reduceat(owned, starts), np.diff(np.append(starts, len(owned))))
-    group = np.cumsum(new) - 1
+    group = np.cumsum(new, dtype=np.int32)
     smallest = np.flatnonzero(owned == least)
-    first = smallest[np.append(True, group[smallest[1:]] != group[smallest[:-1]])]
-    repeat = np.ones(len(whole), bool)
-    repeat[order[first]] = False
-    return answer(blobs, 2, np.split(repeat, np.cumsum([len(k) for k in keys])[:-1]))
+    return order[smallest[np.append(True, group[smallest[1:]] != group[smallest[:-1]])]]
 
 
 def cut_chunk(match: int, sample_bits: int, bits: int, text: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -407,7 +433,7 @@ def remove_repeats(
     strings = by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(
         string_blobs(match, bits, more), "chunk bigint, bucket bigint, keys binary, checks binary, owners binary"
     )
-    repeats, _ = stored(strings.groupBy("bucket").applyInArrow(sort_bucket, ANSWER), "repeats")
+    repeats, _ = stored(strings.groupBy("bucket").applyInArrow(lambda blobs: sort_bucket(blobs), ANSWER), "repeats")
     rest_schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
     kind = "string" if as_text else "binary"
     cut = by_chunk.cogroup(found.unionByName(repeats).groupBy("chunk")).applyInArrow(

@@ -8,9 +8,11 @@ import json
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -601,6 +603,39 @@ def test_repeats_of_random_texts(spark):
     assert got == want
 
 
+def test_bucket_of_strings_is_sorted_in_little_memory():
+    """A bucket is larger than meant where few windows make many candidates; it takes a few bytes a string besides its own."""
+    rng, n, chunks = np.random.default_rng(5), 1_000_000, 50
+
+    def bucket(n, space, n_checks):
+        keys = [rng.integers(0, space, n // chunks).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(chunks)]
+        checks = [rng.integers(0, n_checks, len(k)).astype(np.uint8) for k in keys]
+        owners = [np.sort(rng.integers(0, 300, len(k))) for k in keys]
+        packed = [[k.tobytes() for k in keys], [c.tobytes() for c in checks], [repeats.owner_bytes(o) for o in owners]]
+        names = ["chunk", "bucket", "keys", "checks", "owners"]
+        order = rng.permutation(chunks)
+        values = [order.tolist(), [3] * chunks, *packed]
+        return pa.table([pa.array(v) for v in values], names), {int(c): x for c, *x in zip(order, keys, checks, owners, strict=True)}
+
+    blobs, parts = bucket(20_000, 5_000, 2)
+    first = {}
+    strings = [(c, i, (int(k), int(m)), int(o)) for c in sorted(parts) for i, (k, m, o) in enumerate(zip(*parts[c], strict=True))]
+    for c, i, key, owner in strings:
+        if key not in first or owner < first[key][0]:
+            first[key] = (owner, c, i)
+    kept = {(c, i) for _, c, i in first.values()}
+    for got in (repeats.sort_bucket(blobs), repeats.sort_bucket(blobs, 1_000), repeats.sort_bucket(blobs, 1)):
+        flags = {r["chunk"]: repeats.unpacked(r["flags"], 20_000 // chunks) for r in got.to_pylist()}
+        assert {(c, i) for c, i, _, _ in strings if not flags[c][i]} == kept
+
+    blobs, _ = bucket(n, 1 << 40, 256)
+    tracemalloc.start()
+    repeats.sort_bucket(blobs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * n
+
+
 def test_repeats_in_very_long_texts(spark):
     """Runs and short periods put their windows into few buckets; a chunk sends each of them once."""
     rows = [(1, "a" * 1_500_000), (2, "ab" * 600_000 + "c"), (3, "b" + "a" * 99), (4, "c" + "ab" * 60), (5, "")]
