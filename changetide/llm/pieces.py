@@ -8,7 +8,8 @@ that is not the beginning of the next best one, but for ties.
 No piece has a word mark after other characters, so the lattice falls apart at words. The forward pass alone
 tells the best path of a word and what the second one loses: the least loss of the second choices along the
 best path. The n best of a text differ from its best in at most n - 1 words, those that lose least, and only
-these are searched. Both are remembered by word. Everything is done row by row, nothing is shuffled.
+these are searched. Both are remembered by word. The forward pass of new words runs over many words at once, a
+position after the other, in arrays. Everything is done row by row, nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
+from operator import itemgetter
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +32,8 @@ from changetide.llm.common import map_arrow, slices, text_or_empty
 MARK = "▁"
 #: Words remembered by a worker, twice as many at most, searched ones, and the longest.
 REMEMBERED, SEARCHED, LONGEST = 250_000, 50_000, 64
+#: Characters of texts whose new words are searched together, and words that are at once.
+TOGETHER, AT_ONCE = 1 << 20, 1 << 14
 #: A character without a piece is spelt in bytes, at this much below the lowest score.
 UNKNOWN = 10.0
 
@@ -56,6 +60,37 @@ class Segmentation(NamedTuple):
         return whole
 
 
+class Tree:
+    """A tree of pieces in arrays. Nodes are numbered from 1; 0 stands for none."""
+
+    def __init__(self, trie: dict[str, list]):
+        letters, edges, scores, ids = {}, [], [float("nan")], [-1]
+        waiting: list[tuple[int, dict]] = [(0, trie)]
+        for parent, children in waiting:
+            for letter, (below, score, piece) in children.items():
+                edges.append((parent, letters.setdefault(letter, len(letters) + 1), len(scores)))
+                waiting.append((len(scores), below))
+                scores.append(float("nan") if score is None else score)
+                ids.append(piece)
+        self.scores, self.ids = np.array(scores), np.array(ids, np.int32)
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(x) for x in letters]] = list(letters.values())
+        self.n_letters = len(letters) + 1
+        self.roots = np.zeros(self.n_letters, np.int64)
+        self.roots[[x for p, x, _ in edges if not p]] = [k for p, _, k in edges if not p]
+        keys = np.array([p * self.n_letters + x for p, x, _ in edges])
+        order = np.argsort(keys)
+        self.keys, self.nodes = keys[order], np.array([k for _, _, k in edges])[order]
+
+    def letters(self, text: str) -> np.ndarray:
+        return self.letter[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+
+    def children(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        keys = node * self.n_letters + letter
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.nodes[at], 0)
+
+
 class Segmenter:
     def __init__(self, model: bytes, best: int):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -81,6 +116,7 @@ class Segmenter:
                 node = children.setdefault(character, [{}, None, -1])
                 children = node[0]
             node[1:] = score, i
+        self.tree = Tree(self.trie)
         spelt = {i: bytes([b]) for b, i in self.bytes.items()}
         self.spelling = [spelt.get(i) or self.model.id_to_piece(i).encode() for i in range(self.model.get_piece_size())]
         self.words: dict[str, Word] = {}
@@ -194,10 +230,84 @@ class Segmenter:
         found = self.words.get(text)
         if found is None:
             found = self.older.get(text) or self.viterbi(text)
-            if len(text) <= LONGEST:
-                if len(self.words) >= REMEMBERED:
-                    self.older, self.words = self.words, {}
-                self.words[text] = found
+            self.remember(text, found)
+        return found
+
+    def remember(self, text: str, found: Word) -> None:
+        if len(text) <= LONGEST:
+            if len(self.words) >= REMEMBERED:
+                self.older, self.words = self.words, {}
+            self.words[text] = found
+
+    def learn(self, texts: Iterable[list[str]]) -> None:
+        """Remember the words of some texts that are new. `word` finds the same without it, one by one."""
+        older, new = self.older, []
+        for word in set().union(*texts).difference(self.words):
+            if found := older.get(word):
+                self.remember(word, found)
+            elif len(word) <= LONGEST:
+                new.append(word)
+        for k in range(0, len(new), AT_ONCE):
+            part = new[k : k + AT_ONCE]
+            for word, found in zip(part, self.viterbi_of(part), strict=True):
+                self.remember(word, found)
+
+    def viterbi_of(self, words: list[str]) -> list[Word]:
+        """`viterbi` of each word: sums and comparisons are the same, in the same order."""
+        tree, sizes = self.tree, np.array([len(w) for w in words])
+        order = np.argsort(-sizes, kind="stable")  # so that words that go on are the first
+        sizes = sizes[order]
+        letters = tree.letters("".join([words[k] for k in order.tolist()]))
+        begins, places = np.cumsum(sizes) - sizes, np.cumsum(sizes + 1) - sizes - 1
+        first = np.full(len(letters) + len(words), -np.inf)
+        second, start, pieces = first.copy(), np.zeros(len(first), np.int64), np.zeros(len(first), np.int32)
+        first[places] = 0.0
+        for i in range(sizes[0]):
+            rows = np.arange(np.searchsorted(-sizes, -i))  # longer than i
+            sources, j = places[rows] + i, i
+            node = tree.roots[letters[begins[rows] + i]]
+            score = tree.scores[node]
+            none = np.isnan(score)
+            score[none], piece = self.lowest, np.where(none, -1, tree.ids[node])
+            ends = np.ones(len(rows), bool)
+            while True:
+                at = sources[ends] if j > i else sources
+                to = at + (j + 1 - i)
+                total, best = first[at] + (score[ends] if j > i else score), first[to]
+                better = total >= best
+                second[to] = np.where(better, best, np.maximum(second[to], total))
+                to = to[better]
+                first[to], start[to], pieces[to] = total[better], at[better], (piece[ends] if j > i else piece)[better]
+                j += 1
+                on = (node > 0) & (sizes[rows] > j)
+                rows, sources = rows[on], sources[on]
+                node = tree.children(node[on], letters[begins[rows] + j])
+                on = node > 0
+                rows, sources, node = rows[on], sources[on], node[on]
+                if not len(rows):
+                    break
+                score, piece = tree.scores[node], tree.ids[node]
+                ends = ~np.isnan(score)
+        at, loss, used = places + sizes, np.full(len(words), np.inf), np.zeros(len(first), bool)
+        rows = np.arange(len(words))
+        while len(rows):
+            loss[rows] = np.minimum(loss[rows], first[at] - second[at])
+            used[at] = True
+            at = start[at]
+            on = at > places[rows]
+            rows, at = rows[on], at[on]
+        reached, until = np.flatnonzero(used), np.cumsum(used)[places + sizes].tolist()
+        ids = pieces[reached].tolist()
+        spelt = np.logical_or.reduceat(used & (pieces < 0), places).tolist()
+        found: list = [None] * len(words)
+        score, loss, done = first[places + sizes].tolist(), loss.tolist(), 0
+        for row, k in enumerate(order.tolist()):
+            own = ids[done : until[row]]
+            if spelt[row]:
+                ends = (reached[done : until[row]] - places[row]).tolist()
+                own = self.ids(words[k], list(zip([0, *ends], ends, own, strict=False))[::-1])
+            found[k] = Word(tuple(own), score[row], loss[row])
+            done = until[row]
         return found
 
     def others(self, text: str) -> list[tuple[float, tuple[int, ...]]]:
@@ -216,16 +326,25 @@ class Segmenter:
         ids, ranked = self.n_best(text)
         return ids, [one.score for one in ranked]
 
+    def units(self, text: str) -> list[str]:
+        """Words of a text, each with its marks."""
+        return self.split(self.model.normalize(text))
+
     def n_best(self, text: str) -> tuple[list[int], list[Segmentation]]:
         """Ids of the best segmentation of a text, and the best ones (or all), in order."""
-        units = self.split(self.model.normalize(text))
-        search = self.word
-        known = self.words.get
-        found = [known(u) or search(u) for u in units]
-        ids = list(chain.from_iterable([ids for ids, _, _ in found]))
-        score = sum([score for _, score, _ in found])
+        return self.n_best_of(self.units(text))
+
+    def n_best_of(self, units: list[str]) -> tuple[list[int], list[Segmentation]]:
+        """The same from the text's units."""
+        try:
+            found = list(map(self.words.__getitem__, units))
+        except KeyError:
+            known, search = self.words.get, self.word
+            found = [known(u) or search(u) for u in units]
+        ids = list(chain.from_iterable(map(itemgetter(0), found)))
+        score = sum(map(itemgetter(1), found))
         # At most best - 1 places, those with the smallest loss, can differ from the best path.
-        losses = [loss for _, _, loss in found]
+        losses = list(map(itemgetter(2), found))
         places: list[int] = []
         if least := sorted(losses)[: self.best - 1]:
             near = [(loss, units[k], k) for k, loss in enumerate(losses) if loss <= least[-1] and loss < float("inf")]
@@ -239,6 +358,18 @@ class Segmenter:
             ranked = heapq.nsmallest(self.best, ((t + loss, changes + change) for t, changes in ranked for loss, change in more))
         return ids, [Segmentation(score - t, changes) for t, changes in ranked]
 
+    def n_best_each(self, texts: list[str]) -> Iterator[tuple[str, tuple[list[int], list[Segmentation]]]]:
+        """Texts, and `n_best` of each; new words of some texts are searched together."""
+        start = size = 0
+        for k, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= TOGETHER or k == len(texts):
+                group = texts[start:k]
+                units = [self.units(t) for t in group]
+                self.learn(units)
+                yield from zip(group, map(self.n_best_of, units), strict=True)
+                start, size = k, 0
+
     def spelt(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.spelling.__getitem__, ids))
 
@@ -272,8 +403,7 @@ def segment(
         segmenter = Segmenter(shared.value, best)
         for batch in slices(batches, "text"):
             columns: dict[str, list] = {n: [] for n in names}
-            for text in batch.column("text").to_pylist():
-                ids, found = segmenter.n_best(text)
+            for text, (ids, found) in segmenter.n_best_each(batch.column("text").to_pylist()):
                 raw = np.array(ids, "<u4").tobytes()
                 crcs, variants, alike = [], [], segmenter.decode(ids) == text
                 for rank, one in enumerate(found, 1):

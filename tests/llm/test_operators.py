@@ -603,6 +603,21 @@ def test_repeats_of_random_texts(spark):
     assert got == want
 
 
+def test_new_words_are_searched_together():
+    """The forward pass over many words at once finds what it finds word by word; none is left to be searched alone."""
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        together, alone = (pieces.Segmenter(model, 3) for model in [file.read()] * 2)
+    rng = random.Random(7)
+    words = ["▁", "▁▁▁x", "日本語", "▁a😀b", "▁" + "z" * 63, *("".join(rng.choices("▁abetinqu.=-*é日\U0001f600", k=rng.randint(1, 64))) for _ in range(3000))]
+    assert together.viterbi_of(words) == [alone.viterbi(w) for w in words]
+    texts = ["", "  ", *(" ".join("".join(rng.choices("abehinorst.,é😀", k=9)) for _ in range(60)) for _ in range(50))]
+    want = [alone.n_best(t) for t in texts]
+    searched = []
+    together.viterbi = lambda word: searched.append(word) or alone.viterbi(word)
+    assert list(together.n_best_each(texts)) == list(zip(texts, want, strict=True))
+    assert not searched
+
+
 def test_bucket_of_strings_is_sorted_in_little_memory():
     """A bucket is larger than meant where few windows make many candidates; it takes a few bytes a string besides its own."""
     rng, n, chunks = np.random.default_rng(5), 1_000_000, 50
